@@ -1,0 +1,143 @@
+"""A small reader for stored pages: element tree and the few lookups needed.
+
+Only nested markup needs it; anchors are harvested with built-in expressions.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+from urllib.parse import urljoin
+
+# Elements without content, and elements whose start ends an
+# open paragraph or an open sibling.
+_VOID = set("area base br col embed hr img input link meta source track wbr".split())
+_ENDS_PARAGRAPH = set(
+    "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hr main nav ol p pre section table ul".split()
+)
+_ENDS_SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
+_ENDS_SIBLING |= {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_SCOPE = {"table", "td", "th", "button", "caption", "ul", "ol", "dl", "select"}
+
+
+class Element:
+    __slots__ = ("tag", "attrs", "children")
+
+    def __init__(self, tag, attrs):
+        self.tag = tag
+        self.attrs = attrs
+        self.children = []
+
+    @property
+    def css_class(self):
+        return self.attrs.get("class") or ""
+
+    def elements(self):
+        """Descendant elements in document order."""
+        pending = [c for c in reversed(self.children) if isinstance(c, Element)]
+        while pending:
+            element = pending.pop()
+            yield element
+            pending.extend(c for c in reversed(element.children) if isinstance(c, Element))
+
+    def text(self):
+        parts, pending = [], list(reversed(self.children))
+        while pending:
+            item = pending.pop()
+            if isinstance(item, str):
+                parts.append(item)
+            else:
+                pending.extend(reversed(item.children))
+        return "".join(parts).strip()
+
+    def first(self, test):
+        return next((e for e in self.elements() if test(e)), None)
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Element("", {})
+        self.open = [self.root]
+
+    def _close(self, tags):
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in tags:
+                del self.open[depth:]
+                return
+            if self.open[depth].tag in _SCOPE:
+                return
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _ENDS_PARAGRAPH:
+            self._close({"p"})
+        if tag in _ENDS_SIBLING:
+            self._close(_ENDS_SIBLING[tag])
+        element = Element(tag, dict(attrs))
+        self.open[-1].children.append(element)
+        if tag not in _VOID:
+            self.open.append(element)
+
+    def handle_endtag(self, tag):
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
+                del self.open[depth:]
+                return
+
+    def handle_data(self, data):
+        self.open[-1].children.append(data)
+
+
+def parse(html: str | None) -> Element:
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
+
+
+def cards(html, base, card_class, price_class):
+    """``(href, title, price)`` of every product card, in page order."""
+    found = []
+    for card in parse(html).elements():
+        if card_class not in card.css_class:
+            continue
+        link = card.first(lambda e: e.tag == "a")
+        title = card.first(lambda e: e.tag == "h3")
+        price = card.first(lambda e: price_class in e.css_class)
+        href = link.attrs.get("href") if link else None
+        found.append(
+            (
+                urljoin(base or "", href) if href is not None else "",
+                title.text() if title else "",
+                price.text() if price else "",
+            )
+        )
+    return found
+
+
+_PRICE_SPAN = re.compile(r"USD\s+[\d,]+")
+
+
+def label_detail(html, block_class, report_class):
+    """``(price text, specification lines, report text)`` of a detail page."""
+    root = parse(html)
+    price = root.first(lambda e: e.tag == "span" and _PRICE_SPAN.fullmatch(e.text()))
+    block = root.first(lambda e: block_class in e.css_class.split())
+    lines = [e.text() for e in block.elements() if e.tag == "p"] if block else []
+    report = root.first(
+        lambda e: report_class in e.css_class and "report type" in e.text().lower()
+    )
+    return (price.text() if price else "", lines, report.text() if report else "")
+
+
+def table_detail(html, rows_class):
+    """Specification lines of a detail page: the rows of its information table."""
+    container = parse(html).first(lambda e: rows_class in e.css_class)
+    if container is None:
+        return []
+    return [c.text() for c in container.children if isinstance(c, Element)]
+
+
+def tag_texts(html, tag):
+    return [e.text() for e in parse(html).elements() if e.tag == tag]
