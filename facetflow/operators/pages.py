@@ -73,7 +73,7 @@ def table_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
         return [(markup.table_detail(html, marks.rows),)]
 
     holding = pages.where(F.contains("html", F.lit(marks.rows)))
-    return _map_html(holding, ["url"], "lines array<string>", read)
+    return _one_per_url(_map_html(holding, ["url"], "lines array<string>", read))
 
 
 def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
@@ -90,7 +90,7 @@ def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     parsed = _map_html(
         holding, ["url"], "price_text string, lines array<string>, report string", read
     )
-    return parsed.select(
+    return _one_per_url(parsed).select(
         "url",
         parse_price(F.col("price_text")).alias("price_usd"),
         "lines",
@@ -98,6 +98,13 @@ def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     )
 
 
+def _one_per_url(parsed: DataFrame) -> DataFrame:
+    """Copies of a page count once; they are dropped before the shuffle."""
+    rest = [F.col(c).desc() for c in parsed.columns if c != "url"]
+    rank = F.row_number().over(Window.partitionBy("url").orderBy(*rest))
+    return parsed.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
 def certificate_lab(report: Column) -> Column:
     text = F.upper(report)
     return F.when(text.contains("GIA"), "GIA").when(text.contains("IGI"), "IGI")

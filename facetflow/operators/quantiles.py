@@ -110,7 +110,10 @@ def sliced_quantiles(
         state = cut(_narrow(rows, open_targets, groups, slices, small))
         done = done.unionByName(state.where("_lo = _hi"))
         open_targets = state.where("_lo < _hi")
-    return _interpolate(done, keys, groups, qs, names, leave_out)
+    out = _interpolate(done, keys, groups, qs, names, leave_out)
+    if leave_out:
+        out = out.withColumn(leave_out, F.col(leave_out).cast(df.schema[leave_out].dataType))
+    return out
 
 
 def _targets(sizes: DataFrame, groups: list[str], qs: list[float], leaving_out: bool) -> DataFrame:
@@ -172,15 +175,16 @@ def _narrow(
     counts = inside.groupBy(*interval, "_part", slot.alias("_slot")).agg(
         F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
     )
+    own = F.when(F.col("_part").isNotNull(), F.struct("_part", "_n"))
     totals = counts.groupBy(*interval, "_slot").agg(
-        F.sum("_n").alias("_total"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
+        F.sum("_n").alias("_total"),
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        F.map_from_entries(F.collect_list(own)).alias("_own"),
     )
     steps = lookup_join(totals, targets, interval, "inner", small)
-    own = counts.where(F.col("_part").isNotNull()).select(
-        *interval, "_slot", F.col("_part").alias("_split"), F.col("_n").alias("_own")
-    )
-    steps = lookup_join(steps, own, [*interval, "_slot", "_split"], "left")
-    steps = steps.withColumn("_others", F.col("_total") - F.coalesce("_own", F.lit(0)))
+    left_out = F.coalesce(F.try_element_at("_own", F.col("_split")), F.lit(0))
+    steps = steps.withColumn("_others", F.col("_total") - left_out)
     target = [*groups, "_split", "_q", "_side"]
     through = F.sum("_others").over(Window.partitionBy(*target).orderBy("_slot"))
     steps = steps.withColumn("_through", F.col("_before") + through)

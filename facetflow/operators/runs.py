@@ -13,7 +13,19 @@ from pyspark.sql import functions as F
 from facetflow.functions.text import blank_to_null, guarded_ratio
 from facetflow.operators.quality import largest
 
-_IN_ORDER = Window.orderBy("run_id")
+def _in_order():
+    return Window.orderBy("run_id")
+
+
+EXPANSION = [
+    "baseline_run_id",
+    "current_unique_listings",
+    "baseline_unique_listings",
+    "listing_coverage_multiple",
+    "current_unique_certs",
+    "baseline_unique_certs",
+    "cert_coverage_multiple",
+]
 
 
 def run_rows(history: DataFrame) -> DataFrame:
@@ -31,12 +43,12 @@ def run_growth(history: DataFrame) -> DataFrame:
 
 def with_growth(runs: DataFrame) -> DataFrame:
     """Add the previous run and the change to a table of ``run_id, current_rows``."""
-    before = F.lag("current_rows").over(_IN_ORDER)
+    before = F.lag("current_rows").over(_in_order())
     delta = F.col("current_rows") - F.col("previous_rows")
     first = F.when(F.col("current_rows") > 0, 1.0).otherwise(0.0)
     return runs.withColumns(
         {
-            "previous_run_id": F.lag("run_id").over(_IN_ORDER),
+            "previous_run_id": F.lag("run_id").over(_in_order()),
             "previous_rows": F.coalesce(before, F.lit(0)),
         }
     ).withColumns(
@@ -98,9 +110,9 @@ def run_coverage(history: DataFrame, approximate: bool = False) -> DataFrame:
 def run_expansion(history: DataFrame, approximate: bool = False) -> DataFrame:
     """Coverage of every run over that of the first run."""
     first = {
-        "baseline_run_id": F.first("run_id").over(_IN_ORDER),
-        "baseline_unique_listings": F.first("current_unique_listings").over(_IN_ORDER),
-        "baseline_unique_certs": F.first("current_unique_certs").over(_IN_ORDER),
+        "baseline_run_id": F.first("run_id").over(_in_order()),
+        "baseline_unique_listings": F.first("current_unique_listings").over(_in_order()),
+        "baseline_unique_certs": F.first("current_unique_certs").over(_in_order()),
     }
     return run_coverage(history, approximate).withColumns(first).withColumns(_multiples())
 
