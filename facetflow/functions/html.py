@@ -6,7 +6,7 @@ Only nested markup needs it; anchors are harvested with built-in expressions.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 # Elements without content, and elements whose start ends an
@@ -21,17 +21,37 @@ _ENDS_SIBLING |= {"tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th
 _SCOPE = {"table", "td", "th", "button", "caption", "ul", "ol", "dl", "select"}
 
 
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<raw>script|style)\b(?P<raw_attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(?P<code>.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<[!?][^>]*>",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+
+
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "source", "children", "_attrs")
 
-    def __init__(self, tag, attrs):
+    def __init__(self, tag, source):
         self.tag = tag
-        self.attrs = attrs
+        self.source = source
         self.children = []
+        self._attrs = None
+
+    @property
+    def attrs(self):
+        """Attributes by lower-case name; read from the tag when first needed."""
+        if self._attrs is None:
+            self._attrs = {}
+            for name, *values in _ATTRIBUTE.findall(self.source):
+                self._attrs.setdefault(name.lower(), unescape("".join(values)))
+        return self._attrs
 
     @property
     def css_class(self):
-        return self.attrs.get("class") or ""
+        return self.attrs.get("class", "") if self.source else ""
 
     def elements(self):
         """Descendant elements in document order."""
@@ -55,45 +75,52 @@ class Element:
         return next((e for e in self.elements() if test(e)), None)
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Element("", {})
-        self.open = [self.root]
-
-    def _close(self, tags):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in tags:
-                del self.open[depth:]
-                return
-            if self.open[depth].tag in _SCOPE:
-                return
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _ENDS_PARAGRAPH:
-            self._close({"p"})
-        if tag in _ENDS_SIBLING:
-            self._close(_ENDS_SIBLING[tag])
-        element = Element(tag, dict(attrs))
-        self.open[-1].children.append(element)
-        if tag not in _VOID:
-            self.open.append(element)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
-
-    def handle_data(self, data):
-        self.open[-1].children.append(data)
+def _close(stack, tags, scope):
+    """Drop the innermost open element with one of the tags, within the scope."""
+    for depth in range(len(stack) - 1, 0, -1):
+        tag = stack[depth].tag
+        if tag in tags:
+            del stack[depth:]
+            return
+        if tag in scope:
+            return
 
 
 def parse(html: str | None) -> Element:
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+    """The element tree of a page; a missing end tag is taken as browsers do."""
+    root = Element("", "")
+    stack, text_from = [root], 0
+    html = html or ""
+    for token in _TAG.finditer(html):
+        if token.start() > text_from:
+            stack[-1].children.append(unescape(html[text_from : token.start()]))
+        text_from = token.end()
+        if token["raw"]:
+            element = Element(token["raw"].lower(), token["raw_attrs"])
+            element.children.append(token["code"])
+            stack[-1].children.append(element)
+        elif token["tag"]:
+            tag = token["tag"].lower()
+            if token["end"]:
+                _close(stack, (tag,), ())
+                continue
+            if tag in _ENDS_PARAGRAPH:
+                _close(stack, ("p",), _SCOPE)
+            if tag in _ENDS_SIBLING:
+                _close(stack, _ENDS_SIBLING[tag], _SCOPE)
+            element = Element(tag, token["attrs"])
+            stack[-1].children.append(element)
+            if tag not in _VOID:
+                stack.append(element)
+    if text_from < len(html):
+        stack[-1].children.append(unescape(html[text_from:]))
+    return root
+
+
+def _resolve(base, href):
+    if not href:
+        return ""
+    return href if "://" in href else urljoin(base or "", href)
 
 
 def cards(html, base, card_class, price_class):
@@ -108,7 +135,7 @@ def cards(html, base, card_class, price_class):
         href = link.attrs.get("href") if link else None
         found.append(
             (
-                urljoin(base or "", href) if href is not None else "",
+                _resolve(base, href),
                 title.text() if title else "",
                 price.text() if price else "",
             )

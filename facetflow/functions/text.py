@@ -74,15 +74,10 @@ def parse_measurements(c: Column) -> Column:
     """``struct(length_mm, width_mm, depth_mm)``; all null under three numbers."""
     text = F.replace(F.replace(F.lower(c), F.lit("mm"), F.lit("")), F.lit("×"), F.lit("x"))
     numbers = F.regexp_extract_all(text, F.lit(UNSIGNED_NUMBER), F.lit(1))
-    enough = F.size(numbers) >= 3
-
-    def nth(i):
-        return F.when(enough, F.get(numbers, i).try_cast("double"))
-
+    three = F.when(F.size(numbers) >= 3, numbers)
+    names = ["length_mm", "width_mm", "depth_mm"]
     return F.struct(
-        nth(F.lit(0)).alias("length_mm"),
-        nth(F.lit(1)).alias("width_mm"),
-        nth(F.lit(2)).alias("depth_mm"),
+        *[F.get(three, F.lit(i)).try_cast("double").alias(n) for i, n in enumerate(names)]
     )
 
 

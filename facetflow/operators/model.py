@@ -231,20 +231,47 @@ def solve(sums: np.ndarray, monotone: list[bool], ridge: float = RIDGE) -> np.nd
     return np.where(live, beta / safe, 0.0)
 
 
-def linear_prediction(design: Design, coefficients: Column) -> Column:
-    """The model as a built-in expression over an array of coefficients."""
+def scoring_vector(design: Design, coefficients) -> list[float]:
+    """The coefficients laid out for ``linear_prediction``.
+
+    Every grade gets a leading zero for unknown levels, and the ramps become one
+    line per segment: its height at the left edge and its slope.
+    """
+    at = {name: float(c) for name, c in zip(design.columns, coefficients)}
+    vector = [at["intercept"]]
+    for grade in CATEGORICAL:
+        vector += [0.0, *(at[f"{grade}={level}"] for level in design.levels[grade])]
+    for measure in MEASURES:
+        vector += [at[measure], at[f"{measure}_missing"]]
+    vector.append(at["carat_ln"])
+    rises = [at[f"carat_ramp_{a}_{b}"] for a, b in design.ramps]
+    heights = [0.0, *np.cumsum(rises)]
+    slopes = [rise / (b - a) for rise, (a, b) in zip(rises, design.ramps)] + [0.0]
+    return vector + [float(h) for h in heights] + slopes
+
+
+def linear_prediction(design: Design, scoring: Column) -> Column:
+    """The model as a built-in expression over an array made by ``scoring_vector``."""
 
     def at(position):
-        return F.get(coefficients, position)
+        return F.get(scoring, position if isinstance(position, Column) else F.lit(position))
 
-    total = at(F.lit(0))
+    total, next_at = at(0), 1
     for code, grade in zip(design.codes(), CATEGORICAL):
-        position = F.lit(design.offset(grade) - 1) + code
-        total = total + F.when(code > 0, at(position)).otherwise(F.lit(0.0))
-    start = design.columns.index(MEASURES[0])
-    for i, (_, value) in enumerate(design.numbers()):
-        total = total + at(F.lit(start + i)) * value
-    return total
+        total = total + at(code + next_at)
+        next_at += len(design.levels[grade]) + 1
+    for measure in MEASURES:
+        value = F.col(measure)
+        total = total + F.coalesce(value * at(next_at), at(next_at + 1))
+        next_at += 2
+    carat = F.col("carat")
+    total = total + at(next_at) * F.ln(carat)
+    segment = F.lit(0)
+    for edge in design.edges[1:]:
+        segment = segment + (carat >= edge).cast("int")
+    left = F.get(F.lit(design.edges), segment)
+    heights, slopes = next_at + 1, next_at + 1 + len(design.edges)
+    return total + at(segment + heights) + at(segment + slopes) * (carat - left)
 
 
 @dataclass(frozen=True)
@@ -255,7 +282,7 @@ class Model:
     rows: int
 
     def predict(self) -> Column:
-        return linear_prediction(self.design, F.array(*[F.lit(c) for c in self.coefficients]))
+        return linear_prediction(self.design, F.lit(scoring_vector(self.design, self.coefficients)))
 
 
 def fit(sums: np.ndarray, design: Design, ridge: float = RIDGE) -> Model:

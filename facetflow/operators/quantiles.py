@@ -23,7 +23,10 @@ from facetflow.session import cut
 # Groups above this many rows are not given to one aggregation buffer.
 HOT_ROWS = 1_000_000
 # Slices of this many rows or fewer are ranked value by value.
-FINISH_ROWS = 200_000
+FINISH_ROWS = 2_000
+# Leave-one-out quantiles of this many parts may share one aggregation.
+FEW_PARTS = 16
+# Most slices of one round; small groups are cut into fewer.
 SLICES = 4096
 
 _EVERYTHING = "_everything"
@@ -56,32 +59,39 @@ def group_quantiles(
     cold = lookup_join(df, hot, keys, "left_anti", small)
     cold = cold.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias("quantile"))
     large = lookup_join(df, hot, keys, "left_semi", small)
-    return cold.unionByName(sliced_quantiles(large, keys, value, [q], names=["quantile"]))
+    return cold.unionByName(
+        exact_quantiles(large, keys, value, [q], ["quantile"], hot_rows=hot_rows)
+    )
 
 
 def global_quantiles(
     df: DataFrame, value: str, qs: list[float], names: list[str], finish_rows: int = FINISH_ROWS
 ) -> DataFrame:
     """One row: exact quantiles of a whole column."""
-    return sliced_quantiles(df, [], value, qs, names, finish_rows=finish_rows)
+    return exact_quantiles(df, [], value, qs, names, finish_rows=finish_rows)
 
 
-def sliced_quantiles(
+def exact_quantiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     qs: list[float],
     names: list[str],
     leave_out: str | None = None,
+    hot_rows: int = HOT_ROWS,
     finish_rows: int = FINISH_ROWS,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Exact quantiles per group by repeated slicing.
+    """Exact quantiles of a moderate number of groups, which may be large.
 
     With ``leave_out`` the result has one row per group and value of that
-    column: the quantile of the group's rows that do *not* have the value. All
-    the leave-one-out quantiles come from the same counts, by subtraction, so
-    no row is copied once per training split. Groups left empty give no row.
+    column: the quantile of the group's rows that do *not* have the value.
+    Groups left empty give no row.
+
+    The groups are counted first. If no buffer would hold more than
+    ``hot_rows`` values, one aggregation gives the result; otherwise the groups
+    are sliced, and all leave-one-out quantiles come from the same counts by
+    subtraction, so that no row is copied once per training split.
     """
     groups = [*keys, _EVERYTHING]
     rows = df.where(F.col(value).isNotNull()).select(
@@ -95,8 +105,51 @@ def sliced_quantiles(
     sizes = rows.groupBy(*groups, "_part").agg(
         F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
     )
-    targets = cut(_targets(sizes, groups, qs, leave_out is not None))
+    sizes = cut(sizes)
+    parts = [r["_part"] for r in sizes.select("_part").distinct().limit(FEW_PARTS + 1).collect()]
+    largest = sizes.groupBy(*groups).agg(F.sum("_n").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if len(parts) <= FEW_PARTS and largest * len(parts) <= hot_rows:
+        out = _buffered(rows, keys, groups, qs, names, leave_out, parts)
+    else:
+        targets = _targets(sizes, groups, qs, leave_out is not None)
+        done = _sliced(rows, targets, groups, finish_rows, slices)
+        out = _interpolate(done, keys, groups, qs, names, leave_out)
+    if leave_out:
+        out = out.withColumn(leave_out, F.col(leave_out).cast(df.schema[leave_out].dataType))
+    return out
+
 
+def _buffered(
+    rows: DataFrame,
+    keys: list[str],
+    groups: list[str],
+    qs: list[float],
+    names: list[str],
+    leave_out: str | None,
+    parts: list[str | None],
+) -> DataFrame:
+    """One aggregation with a buffer per group and left-out part."""
+    wanted = F.array(*[F.lit(float(q)) for q in qs])
+    if not leave_out:
+        out = rows.groupBy(*groups).agg(F.percentile("_x", wanted).alias("_p"))
+    else:
+        splits = []
+        for part in (p for p in parts if p is not None):
+            is_part = F.col("_part").eqNullSafe(F.lit(part))
+            value = F.percentile(F.when(~is_part, F.col("_x")), wanted)
+            value = F.when(F.count_if(is_part) > 0, value)
+            splits.append(F.struct(F.lit(part).alias(leave_out), value.alias("_p")))
+        each = rows.groupBy(*groups).agg(F.array(*splits).alias("_splits"))
+        out = each.select(*keys, F.inline("_splits")).where(F.col("_p").isNotNull())
+    kept = [*keys, leave_out] if leave_out else keys
+    return out.select(*kept, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def _sliced(
+    rows: DataFrame, targets: DataFrame, groups: list[str], finish_rows: int, slices: int
+) -> DataFrame:
+    """Every target with the value at its rank in ``_lo`` (and ``_hi``)."""
+    targets = cut(targets)
     open_targets = targets.where("_lo < _hi")
     done = targets.where("_lo = _hi")
     while True:
@@ -107,13 +160,11 @@ def sliced_quantiles(
         if widest <= finish_rows:
             done = done.unionByName(_narrow(rows, open_targets, groups, None, small))
             break
-        state = cut(_narrow(rows, open_targets, groups, slices, small))
+        pieces = min(slices, max(16, 8 * widest // finish_rows))
+        state = cut(_narrow(rows, open_targets, groups, pieces, small))
         done = done.unionByName(state.where("_lo = _hi"))
         open_targets = state.where("_lo < _hi")
-    out = _interpolate(done, keys, groups, qs, names, leave_out)
-    if leave_out:
-        out = out.withColumn(leave_out, F.col(leave_out).cast(df.schema[leave_out].dataType))
-    return out
+    return done
 
 
 def _targets(sizes: DataFrame, groups: list[str], qs: list[float], leaving_out: bool) -> DataFrame:
