@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +27,8 @@ from facetflow.operators import (
     validation,
 )
 from facetflow.plans import harvest, merge, run_cycle, train
-from facetflow.session import checkpoint_folder, cut
+from facetflow.session import scratch_path as _scratch
+from facetflow.session import write_out
 from facetflow.sources import readers, registry, writers
 from facetflow.streaming import ingest
 
@@ -59,10 +59,6 @@ def _plain(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFr
     return df.select(*out)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize(sampledata.listings(spark, sf_dir), keep=["feed"])
 
@@ -70,7 +66,7 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_rows(spark: SparkSession, sf_dir: str, written: bool = True) -> DataFrame:
     """Model rows of the priced listings; written once where several passes follow."""
     rows = train.training_rows(normalize.normalize(sampledata.priced_listings(spark, sf_dir)))
-    return cut(rows) if written else rows
+    return write_out(rows, "training") if written else rows
 
 
 # --- standardising, identity, deduplication
@@ -412,17 +408,16 @@ def gram_matrix(spark, sf_dir):
     rows = training_rows(spark, sf_dir, written=False)
     design = model.fit_design(rows)
     wanted = ["intercept", "length_mm", "length_mm_missing", "carat_ramp_1.0_1.5", "carat_ln"]
-    at = [design.columns.index(name) for name in wanted] + [len(design.columns)]
-    table = model.cross_products(rows, design, ["vendor"]).where(F.col("i").isin(at))
-    cells = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.get("sums", F.lit(j)).alias("value")) for j in at]))
-    label = F.element_at(
-        F.create_map(*[F.lit(x) for pair in zip(at, [*wanted, "log_price"]) for x in pair]), F.col("k")
-    )
-    long = table.select("vendor", "i", cells.alias("_c")).select("vendor", "i", "_c.*")
-    named = long.withColumn("k", F.col("i")).withColumn("left_term", label)
-    named = named.withColumn("k", F.col("j")).withColumn("right_term", label)
-    return named.select(
-        "vendor", "left_term", "right_term", F.round("value", 3).alias("value")
+    places = {design.columns.index(name): name for name in wanted} | {len(design.columns): "log_price"}
+    table = model.cross_products(rows, design, ["vendor"]).where(F.col("i").isin(*places))
+    cells = table.select("vendor", "i", "block", F.posexplode("sums").alias("k", "value"))
+    cells = cells.withColumn("j", F.col("block") * model.BLOCK + F.col("k"))
+    names = F.create_map(*[F.lit(x) for place in places.items() for x in place])
+    return cells.where(F.col("j").isin(*places) & (F.col("i") <= F.col("j"))).select(
+        "vendor",
+        names[F.col("i")].alias("left_term"),
+        names[F.col("j")].alias("right_term"),
+        F.round("value", 3).alias("value"),
     )
 
 
@@ -451,7 +446,7 @@ def attribution(spark, sf_dir):
 
 def _fitted(rows: DataFrame) -> model.Model:
     design = model.fit_design(rows)
-    return model.fit(model.as_matrix(model.cross_products(rows, design, []).collect()), design)
+    return model.fit(model.collect_matrix(model.cross_products(rows, design, []), design), design)
 
 
 def model_contract(spark, sf_dir):
@@ -524,7 +519,10 @@ def history_roundtrip(spark, sf_dir):
 def history_stream(spark, sf_dir):
     """The same history through the stream."""
     path = _scratch(spark, "history")
-    ingest.ingest_events(spark, sf_dir, path, _scratch(spark, "progress"))
+    layout = sampledata.table(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(layout).option("pathGlobFilter", "events*.parquet")
+    arriving = files.parquet(sf_dir)
+    ingest.ingest_stream(arriving, sampledata.history_of, path, _scratch(spark, "progress"))
     return _plain(runs.run_growth(readers.read_history(spark, path)))
 
 

@@ -30,6 +30,8 @@ RAMP_EDGES = [0.0, 0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 8.0, 12.0, 20.0, 30.
 RIDGE = 1e-4
 # A dense design of this width still fits the p x p sums of a few splits.
 MAX_COLUMNS = 4000
+# Cells per stored block of the cross products.
+BLOCK = 16
 # Groups one task holds before it passes its partial sums on.
 _GROUPS_IN_TASK = 64
 
@@ -132,21 +134,30 @@ def fit_design(rows: DataFrame) -> Design:
 
 
 def cross_products(rows: DataFrame, design: Design, by: list[str]) -> DataFrame:
-    """``by, i, sums``: row ``i`` of the cross products of all columns and log price.
+    """``by, i, block, sums``: cross products of all columns and log price.
 
-    Every task adds up its own rows and emits one matrix row per group, so what
-    is shuffled does not grow with the number of rows; the partial rows are
-    added on the executors, spread over groups and matrix rows.
+    Row ``i`` of the symmetric matrix is stored from the diagonal block on, in
+    blocks of ``BLOCK`` cells. Every task adds up its own rows and emits the
+    blocks once per group, so what is shuffled does not grow with the number of
+    rows; the partial blocks are added on the executors, spread over groups,
+    rows and blocks.
     """
     width = len(design.columns) + 1
+    blocks = -(-width // BLOCK)
+    cells = [(i, b) for i in range(width) for b in range(i // BLOCK, blocks)]
+    at_row = np.array([i for i, _ in cells], dtype=np.int32)
+    at_block = np.array([b for _, b in cells], dtype=np.int32)
     names = [*by, *CATEGORICAL, *MEASURES, "carat", "log_price"]
     slim = rows.select(*by, *design.codes(), *MEASURES, "carat", "log_price")
 
     def emit(sums):
         for group, matrix in sums.items():
-            frame = pd.DataFrame({"i": np.arange(width, dtype=np.int32), "v": list(matrix)})
+            padded = np.zeros((width, blocks * BLOCK))
+            padded[:, :width] = matrix
+            pieces = padded.reshape(width, blocks, BLOCK)[at_row, at_block]
+            frame = pd.DataFrame({"i": at_row, "block": at_block, "v": list(pieces)})
             for name, value in zip(reversed(by), reversed(group)):
-                frame.insert(0, name, pd.Series([value] * width, dtype=object))
+                frame.insert(0, name, pd.Series([value] * len(cells), dtype=object))
             yield frame
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,16 +181,30 @@ def cross_products(rows: DataFrame, design: Design, by: list[str]) -> DataFrame:
         yield from emit(sums)
 
     kinds = [f"{c} {slim.schema[c].dataType.simpleString()}" for c in by]
-    schema = ", ".join([*kinds, "i int", "v array<double>"])
-    partial = slim.select(*names).mapInPandas(run, schema)
-    added = F.array(*[F.sum(F.get("v", F.lit(j))) for j in range(width)])
-    return partial.groupBy(*by, "i").agg(added.alias("sums"))
+    schema = ", ".join([*kinds, "i int", "block int", "v array<double>"])
+    partial = slim.select(*names).mapInPandas(run, schema).withColumnRenamed("v", "sums")
+    return add_blocks(partial, by)
 
 
-def as_matrix(rows) -> np.ndarray:
-    """Collected ``i, sums`` rows of one group as a matrix."""
-    ordered = sorted(rows, key=lambda r: r["i"])
-    return np.array([r["sums"] for r in ordered])
+def add_blocks(partial: DataFrame, by: list[str]) -> DataFrame:
+    """Add up blocks of the same place."""
+    added = F.array(*[F.sum(F.get("sums", F.lit(j))) for j in range(BLOCK)])
+    return partial.groupBy(*by, "i", "block").agg(added.alias("sums"))
+
+
+def as_matrix(rows, width: int) -> np.ndarray:
+    """The symmetric matrix of ``(i, block, sums)`` rows; equal places are added."""
+    padded = np.zeros((width, -(-width // BLOCK) * BLOCK))
+    for i, block, sums in rows:
+        padded[i, block * BLOCK : (block + 1) * BLOCK] += np.asarray(sums)
+    upper = np.triu(padded[:, :width])
+    return upper + np.triu(upper, 1).T
+
+
+def collect_matrix(table: DataFrame, design: Design) -> np.ndarray:
+    """A table without groups as one matrix on the driver: p x p cells."""
+    rows = table.select("i", "block", "sums").collect()
+    return as_matrix([tuple(r) for r in rows], len(design.columns) + 1)
 
 
 def solve(sums: np.ndarray, monotone: list[bool], ridge: float = RIDGE) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from facetflow.functions.features import CATEGORICAL, NUMERIC, model_rows
 from facetflow.operators import gates, model, policy, splits, validation
-from facetflow.session import cut
+from facetflow.session import cut, write_out
 from facetflow.sources.writers import write_attribution, write_report
 
 # Columns that put rows of one date in order for the time holdout.
@@ -51,7 +51,7 @@ class Validation:
     @cached_property
     def residuals(self) -> DataFrame:
         """Out-of-fold predictions, written once: several quantile passes read them."""
-        return cut(validation.out_of_fold(self.rows, self.sums, self.folds))
+        return write_out(validation.out_of_fold(self.rows, self.sums, self.folds), "residuals")
 
     @cached_property
     def per_fold(self) -> DataFrame:
@@ -103,7 +103,7 @@ def train(
     """Gate on quality, validate, gate on improvement, fit on all rows."""
     if require_quality_report:
         gates.enforce_training_quality(quality_report)
-    checked = validate(cut(training_rows(listings)))
+    checked = validate(write_out(training_rows(listings), "training"))
     cv = cut(checked.cv)
     means = cv.first()
     if means["status"] == "ok":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,10 +40,26 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy.
+    """Write a small ``df`` to the shared checkpoint folder and go on from the copy.
 
     Reliable checkpoint: the copy survives the loss of any executor.
     """
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_out(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a large ``df`` to the shared folder as Parquet and read it back.
+
+    Unlike a checkpoint, the copy can be read by column and filtered at the
+    scan, which is what several passes over the same rows need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

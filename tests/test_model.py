@@ -133,7 +133,7 @@ def test_cross_products_and_prediction_agree_with_numpy(rows):
     design = model.fit_design(rows)
     pdf = rows.select("vendor", *design.codes(), *model.MEASURES, "carat", "log_price").toPandas()
     z = np.column_stack([design.matrix(pdf), pdf["log_price"]])
-    got = model.as_matrix(model.cross_products(rows, design, []).collect())
+    got = model.collect_matrix(model.cross_products(rows, design, []), design)
     assert np.allclose(got, z.T @ z)
     fitted = model.fit(got, design)
     spark_mean = rows.agg(F.avg(fitted.predict()), F.stddev_pop(fitted.predict())).first()
@@ -164,7 +164,7 @@ def test_leave_one_out_sums_equal_a_refit(rows, checked):
     scoring = {r["fold"]: r["scoring"] for r in validation.fold_coefficients(checked.sums, checked.folds).collect()}
     vendor, fold = next(iter(folds.items()))
     rest = rows.where(F.col("vendor") != vendor)
-    sums = model.as_matrix(model.cross_products(rest, checked.design, []).collect())
+    sums = model.collect_matrix(model.cross_products(rest, checked.design, []), checked.design)
     refit = model.scoring_vector(checked.design, model.solve(sums, checked.design.monotone))
     assert np.allclose(scoring[fold], refit, atol=1e-6)
 
