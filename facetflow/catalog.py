@@ -20,6 +20,7 @@ from facetflow.operators import (
     pages,
     policy,
     quality,
+    residual_trees,
     runs,
     specs,
     splits,
@@ -205,6 +206,13 @@ def source_policy(spark, sf_dir):
 # --- anomalies
 
 
+def run_ids(spark, sf_dir):
+    events = sampledata.table(spark, sf_dir, "events")
+    return events.groupBy(text.run_id_of(F.col("ts").cast("timestamp")).alias("run_id")).agg(
+        F.count("*").alias("rows")
+    )
+
+
 def mispriced(spark, sf_dir):
     return _plain(anomaly.detect_mispriced(sampledata.history(spark, sf_dir)).drop("carat"))
 
@@ -302,15 +310,29 @@ def page_blocks(spark, sf_dir):
     )
 
 
+def page_block_counts(spark, sf_dir):
+    blocks = pages.tag_texts(sampledata.table(spark, sf_dir, "pages"), "p", ["page_id"])
+    return blocks.groupBy("page_id").agg(F.count("*").alias("blocks"))
+
+
+def first_links(spark, sf_dir):
+    """The start of the frontier over all stored pages."""
+    stored = sampledata.table(spark, sf_dir, "pages")
+    links = pages.product_links(stored, ["page_id"], "/", "(?i)[a-z]", absolute=False)
+    return pages.frontier(links, ["page_id"], limit=50)
+
+
 def page_sequence(spark, sf_dir):
     stored = sampledata.list_pages(spark, sf_dir)
     links = pages.product_links(stored, ["site", "page_no"], "/", "(?i)ch", absolute=False)
+    links = write_out(links, "links")
     return pages.pages_in_sequence(stored.select("site", "page_no"), links)
 
 
 def page_sequence_limited(spark, sf_dir):
     stored = sampledata.list_pages(spark, sf_dir)
     links = pages.product_links(stored, ["site", "page_no"], "/", "(?i)[a-z]", absolute=False)
+    links = write_out(links, "links")
     return pages.pages_in_sequence(stored.select("site", "page_no"), links, max_links=20)
 
 
@@ -351,6 +373,34 @@ def model_features(spark, sf_dir):
     return _plain(features.feature_table(rows))
 
 
+def model_row_counts(spark, sf_dir):
+    return features.model_row_counts(
+        normalize.normalize(sampledata.priced_listings(spark, sf_dir))
+    )
+
+
+def feature_contract(spark, sf_dir):
+    """Every column of the model and whether its coefficient is bound to rise."""
+    design = model.fit_design(training_rows(spark, sf_dir, written=False))
+    return spark.createDataFrame(
+        list(zip(design.columns, design.monotone)), "feature string, monotone boolean"
+    )
+
+
+def encoded_levels(spark, sf_dir):
+    """Rows per indicator of the one-hot encoding."""
+    rows = training_rows(spark, sf_dir)
+    design = model.fit_design(rows)
+    codes = [
+        F.struct(F.lit(g).alias("feature"), c.alias("code"), model.or_missing(F.col(g)).alias("level"))
+        for g, c in zip(model.CATEGORICAL, design.codes())
+    ]
+    each = rows.select(F.inline(F.array(*codes)))
+    return each.groupBy("feature", F.col("code").cast("bigint").alias("code"), "level").agg(
+        F.count("*").alias("rows")
+    )
+
+
 def category_levels(spark, sf_dir):
     return model.category_levels(normalized(spark, sf_dir))
 
@@ -449,6 +499,18 @@ def _fitted(rows: DataFrame) -> model.Model:
     return model.fit(model.collect_matrix(model.cross_products(rows, design, []), design), design)
 
 
+def two_stage_model(spark, sf_dir):
+    """Mean absolute error of the linear model and with a few trees on top."""
+    rows = training_rows(spark, sf_dir)
+    fitted = _fitted(rows)
+    trees = residual_trees.fit_residual_trees(rows, fitted, iterations=5, depth=4, rate=0.3)
+    both = residual_trees.predict_in_two_stages(rows, fitted, trees)
+    return both.groupBy("vendor").agg(
+        baseline.mean_absolute("linear_log_price").alias("linear_mae_log"),
+        baseline.mean_absolute("predicted_log_price").alias("two_stage_mae_log"),
+    )
+
+
 def model_contract(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
     return model.model_table(spark, _fitted(rows))
@@ -466,6 +528,16 @@ def scored(spark, sf_dir):
     )
 
 
+def reject_rule(spark, sf_dir):
+    listings = normalize.normalize(sampledata.priced_listings(spark, sf_dir))
+    missing = features.sparse_count()
+    return listings.select(
+        "source_url",
+        missing.cast("bigint").alias("missing_count"),
+        (missing >= policy.REJECT_MISSING).alias("reject"),
+    )
+
+
 def uncertainty_policy(spark, sf_dir):
     """The policy over the baseline's own residuals."""
     rows = training_rows(spark, sf_dir)
@@ -495,6 +567,27 @@ def csv_scan(spark, sf_dir):
     return _plain(readers.read_present(spark, [f"{folder}/one.csv", absent]))
 
 
+def import_scan(spark, sf_dir):
+    folder = _scratch(spark, "imports")
+    raw = sampledata.listings(spark, sf_dir).withColumn(
+        "vendor", F.when(F.col("table_pct") != 51, F.col("vendor"))
+    )
+    raw.drop("feed").write.option("header", True).option("escape", '"').csv(f"{folder}/partner.csv")
+    return quality.vendor_counts(readers.read_import(spark, "partner", folder))
+
+
+def anomaly_report(spark, sf_dir):
+    """The anomaly report as written, read back."""
+    path = _scratch(spark, "anomalies")
+    writers.write_anomalies(anomaly.detect_mispriced(sampledata.history(spark, sf_dir)), path)
+    written = spark.read.option("header", True).csv(path)
+    numbers = [text.to_number(F.col(c)).alias(c) for c in ("price_usd", "median", "z_score")]
+    flag = F.col("is_potentially_undervalued").try_cast("boolean")
+    return _plain(
+        written.select("vendor", "listing_key", *numbers, flag.alias("is_potentially_undervalued"))
+    )
+
+
 def json_scan(spark, sf_dir):
     folder = _scratch(spark, "feeds")
     sampledata.listings(spark, sf_dir).drop("feed").write.json(f"{folder}/one.json")
@@ -589,6 +682,7 @@ QUERIES: dict[str, Query] = {
         exit_checks,
         phase_progress,
         source_policy,
+        run_ids,
         mispriced,
         price_stats,
         flag_counts,
@@ -603,6 +697,8 @@ QUERIES: dict[str, Query] = {
         page_links_absolute,
         page_headings,
         page_blocks,
+        page_block_counts,
+        first_links,
         page_sequence,
         page_sequence_limited,
         card_frontier,
@@ -610,6 +706,9 @@ QUERIES: dict[str, Query] = {
         assembled_label,
         extraction_log,
         model_features,
+        model_row_counts,
+        feature_contract,
+        encoded_levels,
         category_levels,
         vendor_folds,
         group_count,
@@ -624,10 +723,14 @@ QUERIES: dict[str, Query] = {
         vendor_holdout,
         time_holdout,
         attribution,
+        two_stage_model,
         model_contract,
         scored,
+        reject_rule,
         uncertainty_policy,
         csv_scan,
+        import_scan,
+        anomaly_report,
         json_scan,
         history_roundtrip,
         history_stream,

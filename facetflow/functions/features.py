@@ -71,6 +71,20 @@ def model_rows(df: DataFrame) -> DataFrame:
     return kept.withColumn("log_price", log_price(F.col("price_usd")))
 
 
+def model_row_counts(df: DataFrame) -> DataFrame:
+    """One row: all rows, those a model may use, and why the others may not."""
+    grown = F.col("is_lab_grown").eqNullSafe(F.lit(True))
+    gap = F.col("price_usd").isNull() | F.col("carat").isNull()
+    low = (F.col("price_usd") <= 0) | (F.col("carat") <= 0)
+    return df.agg(
+        F.count("*").alias("rows"),
+        F.count_if(grown).alias("lab_grown"),
+        F.count_if(~grown & gap).alias("without_price_or_carat"),
+        F.count_if(~grown & ~gap & low).alias("not_positive"),
+        F.count_if(~grown & ~gap & ~low).alias("usable"),
+    )
+
+
 def feature_table(df: DataFrame) -> DataFrame:
     """The 7 categorical, 7 numeric, squared and hinge columns of every model row."""
     base = with_hinges(model_rows(df))

@@ -31,6 +31,8 @@ class Markup:
 
 MARKUP = Markup()
 
+_SHARES = 64
+
 _ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
@@ -188,7 +190,8 @@ def pages_in_sequence(
 ) -> DataFrame:
     """Listing pages up to the first one without links, per site.
 
-    ``list_pages`` has ``site, page_no``; ``links`` has ``site, page_no, href``.
+    ``list_pages`` has ``site, page_no``; ``links`` has ``site, page_no, href``
+    and is read twice.
     With ``max_links`` the sequence also ends at the page on which that many
     distinct links have been seen: the page of the ``max_links``-th link by
     first appearance.
@@ -202,6 +205,14 @@ def pages_in_sequence(
     if max_links is None:
         return kept.drop("_first_empty")
     seen = links.groupBy("site", "href").agg(F.min("page_no").alias("_page"))
+    # A site may hold most links: first the smallest of each share of its links.
+    share = F.pmod(F.xxhash64("href"), F.lit(_SHARES)).alias("_share")
+    in_share = Window.partitionBy("site", "_share").orderBy("_page", "href")
+    seen = (
+        seen.select("*", share)
+        .withColumn("_in_share", F.row_number().over(in_share))
+        .where(F.col("_in_share") <= max_links)
+    )
     nth = F.row_number().over(Window.partitionBy("site").orderBy("_page", "href"))
     last = (
         seen.withColumn("_nth", nth)

@@ -279,6 +279,9 @@ _SPARSE = " + ".join(
     for c in "polish symmetry fluorescence table_pct depth_pct length_mm width_mm depth_mm".split()
 )
 
+_MEASURES_OF_MODEL = ["length_mm", "width_mm", "depth_mm", "table_pct", "depth_pct", "l_w_ratio"]
+_EDGES = [0.0, 0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 8.0, 12.0, 20.0, 30.0]
+
 _REQUIRED = ["price_usd", "carat", "intensity", "clarity", "shape", "vendor", "source_url"]
 
 _PAGE_TEXT = """regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"""
@@ -330,6 +333,7 @@ ORACLES: dict[str, str] = {
     "source_policy": """select cast(count(*) as bigint) as known_sources,
         cast(count(case when s_acctbal > 0 then 1 end) as bigint) as active_sources, cast(3 as bigint) as required_sources,
         count(case when s_acctbal > 0 then 1 end) >= 3 as passes from supplier""",
+    "run_ids": "select strftime(ts, '%Y%m%dT%H%M%SZ') as run_id, cast(count(*) as bigint) as rows from events group by 1",
     "mispriced": f"""{_H} select listing_key, feed, vendor, source_url, round(price_usd, 6) as price_usd, cert_number,
         cast(cast(scraped_at as date) as varchar) as scraped_at, run_id, count, round(median, 6) as median, round(std, 6) as std,
         round(z, 6) as z_score, round(fall, 6) as drop_pct_vs_median, coalesce(abs(z) >= 2.5, false) as is_mispriced,
@@ -361,6 +365,10 @@ ORACLES: dict[str, str] = {
         from ({_ANCHORS}) where contains(href, '/') and regexp_matches(text, '(?i)th')""",
     "page_headings": f"""select page_id, trim(replace(replace(replace({_PAGE_TEXT}, '&copy;', '©'), '&quot;', '"'), '&amp;', '&')) as text
         from pages where regexp_matches(html, '(?s)<h1>.*?</h1>')""",
+    "page_block_counts": """select page_id, cast(len(regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>|<!--.*?-->', '', 'g'),
+        '<p[ >]')) as bigint) as blocks from pages where regexp_matches(html, '<p[ >]')""",
+    "first_links": f"""select href, max(page_id) as page_id from ({_ANCHORS}) where contains(href, '/') and regexp_matches(text, '(?i)[a-z]')
+        group by href order by href limit 50""",
     "page_sequence": f"{_sequence('(?i)ch')} select * from kept",
     "page_sequence_limited": f"""{_sequence('(?i)[a-z]')}, seen as (select site, href, min(page_no) as page from links group by all),
         nth as (select site, page, row_number() over (partition by site order by page, href) as nth from seen),
@@ -379,6 +387,19 @@ ORACLES: dict[str, str] = {
         round(carat * carat, 6) as carat_sq,
         {", ".join(f"round(greatest(carat - {k}, 0), 6) as carat_over_{str(k).replace('.', '_')}" for k in (1.0, 1.5, 2.0, 3.0, 4.0, 5.0))},
         round(log_price, 6) as log_price from t""",
+    "model_row_counts": f"""with {_standard("p", _PRICED)} select cast(count(*) as bigint) as rows,
+        cast(count(case when is_lab_grown then 1 end) as bigint) as lab_grown,
+        cast(count(case when is_lab_grown is distinct from true and (price_usd is null or carat is null) then 1 end) as bigint) as without_price_or_carat,
+        cast(count(case when is_lab_grown is distinct from true and (price_usd <= 0 or carat <= 0) and price_usd is not null
+        and carat is not null then 1 end) as bigint) as not_positive,
+        cast(count(case when is_lab_grown is distinct from true and price_usd > 0 and carat > 0 then 1 end) as bigint) as usable from p""",
+    "feature_contract": f"""{_LOG_ROWS}, l as ({" union ".join(f"select '{c}=' || coalesce({c}, '<MISSING>') as feature from t" for c in _CATS)})
+        select feature, false as monotone from l union all select 'intercept', false union all
+        select unnest([{", ".join(f"'{m}', '{m}_missing'" for m in _MEASURES_OF_MODEL)}]), false union all
+        select unnest([{", ".join(f"'carat_ramp_{a}_{b}'" for a, b in zip(_EDGES, _EDGES[1:]))}, 'carat_ln']), true""",
+    "encoded_levels": f"""{_LOG_ROWS}, l as ({" union all ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from t" for c in _CATS)}),
+        c as (select feature, level, cast(count(*) as bigint) as rows from l group by all)
+        select feature, level, rows, cast(row_number() over (partition by feature order by level) as bigint) as code from c""",
     "category_levels": _N
     + " "
     + " union ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from n" for c in _CATS),
@@ -398,6 +419,7 @@ ORACLES: dict[str, str] = {
         round(avg(abs(log_price - coalesce(m, (select median(log_price) from e)))), 6) as baseline_mae_log
         from l left join m using (carat_bucket, intensity)""",
     "gram_matrix": f"{_LOG_ROWS} {_GRAM}",
+    "reject_rule": f"""with {_standard("p", _PRICED)} select source_url, cast({_SPARSE} as bigint) as missing_count, ({_SPARSE}) >= 4 as reject from p""",
     "uncertainty_policy": f"""{_LOG_ROWS}, m as (select carat_bucket, intensity, median(log_price) as m from t group by all),
         e as (select abs(log_price - m) as e from t join m using (carat_bucket, intensity))
         select cast(4 as bigint) as reject_missing, round((select quantile_cont(e, 0.9) from e), 6) as high_error,
@@ -405,6 +427,9 @@ ORACLES: dict[str, str] = {
         round((select quantile_cont(cast({_SPARSE} as double), 0.5) from t), 6) as missing_p50,
         round((select quantile_cont(cast({_SPARSE} as double), 0.9) from t), 6) as missing_p90""",
     "csv_scan": f"""{_N} select * replace ({", ".join(f"nullif({c}, '') as {c}" for c in _BLANK)}) from (select {_CANON} from n)""",
+    "import_scan": f"""{_R} select case when table_pct = 51 then 'partner' else vendor end as vendor, cast(count(*) as bigint) as rows from r group by 1""",
+    "anomaly_report": f"""{_H} select vendor, listing_key, round(price_usd, 6) as price_usd, round(median, 6) as median, round(z, 6) as z_score,
+        coalesce(fall >= 0.2, false) as is_potentially_undervalued from ({_MISPRICED})""",
     "json_scan": f"{_N} select {_CANON} from n",
     "history_roundtrip": f"{_H} {_GROWTH}",
     "history_stream": f"{_H} {_GROWTH}",
