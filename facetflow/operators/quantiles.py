@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from facetflow.operators.joins import BROADCAST_ROWS, is_small, lookup_join
 from facetflow.session import cut
 
-# Groups above this many rows are not given to one aggregation buffer.
-HOT_ROWS = 1_000_000
+# Groups above this many rows are not given to one aggregation buffer. A task
+# holds the buffers of a hundred groups or so before it starts to sort instead.
+HOT_ROWS = 200_000
 # Slices of this many rows or fewer are ranked value by value.
 FINISH_ROWS = 2_000
+# A whole column is a single group, so its buffer may be this much larger.
+WHOLE_COLUMN = 5
 # Leave-one-out quantiles of this many parts may share one aggregation.
 FEW_PARTS = 16
 # Most slices of one round; small groups are cut into fewer.
@@ -88,8 +91,8 @@ def exact_quantiles(
     column: the quantile of the group's rows that do *not* have the value.
     Groups left empty give no row.
 
-    The groups are counted first. If no buffer would hold more than
-    ``hot_rows`` values, one aggregation gives the result; otherwise the groups
+    The groups are counted first. If no buffer would grow too large, one
+    aggregation gives the result; otherwise the groups
     are sliced, and all leave-one-out quantiles come from the same counts by
     subtraction, so that no row is copied once per training split.
     """
@@ -108,7 +111,8 @@ def exact_quantiles(
     sizes = cut(sizes)
     parts = [r["_part"] for r in sizes.select("_part").distinct().limit(FEW_PARTS + 1).collect()]
     largest = sizes.groupBy(*groups).agg(F.sum("_n").alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if len(parts) <= FEW_PARTS and largest * len(parts) <= hot_rows:
+    buffered = hot_rows if keys else WHOLE_COLUMN * hot_rows
+    if len(parts) <= FEW_PARTS and largest * len(parts) <= buffered:
         out = _buffered(rows, keys, groups, qs, names, leave_out, parts)
     else:
         targets = _targets(sizes, groups, qs, leave_out is not None)
