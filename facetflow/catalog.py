@@ -40,20 +40,20 @@ LIMITS = gates.Thresholds(min_new_rows=0, min_coverage_multiple=1.0, max_vendor_
 REQUIRED = gates.Required(growth=True, min_active_vendors=True, coverage=True, exit=True)
 
 
-def _rounded(c: Column, digits: int = 6) -> Column:
-    return F.round(c, digits)
+def _plain(df: DataFrame, digits: int | None = 6) -> DataFrame:
+    """Dates as text and doubles rounded, so that two engines can be compared.
 
-
-def _plain(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Dates as text and doubles rounded, so that two engines can be compared."""
+    Without ``digits`` doubles stay as they are: read values and single
+    divisions are the same in any engine.
+    """
     out = []
     for field in df.schema:
         c = F.col(field.name)
         kind = field.dataType.simpleString()
         if kind in ("date", "timestamp", "timestamp_ntz"):
             c = c.cast("date").cast("string")
-        elif kind == "double" and field.name not in keep:
-            c = _rounded(c, digits)
+        elif kind == "double" and digits is not None:
+            c = F.round(c, digits)
         elif kind == "int":
             c = c.cast("bigint")
         out.append(c.alias(field.name))
@@ -74,7 +74,7 @@ def training_rows(spark: SparkSession, sf_dir: str, written: bool = True) -> Dat
 
 
 def normalize_listings(spark, sf_dir):
-    return _plain(normalized(spark, sf_dir).select(*schema.LISTING_COLUMNS))
+    return _plain(normalized(spark, sf_dir).select(*schema.LISTING_COLUMNS), None)
 
 
 def import_feed_vendor_fill(spark, sf_dir):
@@ -99,13 +99,13 @@ def dedupe_keys(spark, sf_dir):
 
 
 def dedupe_listings(spark, sf_dir):
-    return _plain(dedupe.dedupe(normalize.normalize(sampledata.listings(spark, sf_dir))))
+    return _plain(dedupe.dedupe(normalize.normalize(sampledata.listings(spark, sf_dir))), None)
 
 
 def dedupe_keep_incomplete(spark, sf_dir):
     rows = normalize.normalize(sampledata.listings(spark, sf_dir))
     kept = dedupe.dedupe(rows, missing_geometry="keep")
-    return _plain(kept.select("source_url", "date_seen", "carat", "length_mm"))
+    return _plain(kept.select("source_url", "date_seen", "carat", "length_mm"), None)
 
 
 # --- quality, runs, gates
@@ -345,12 +345,12 @@ def card_frontier(spark, sf_dir):
 
 def assembled_table(spark, sf_dir):
     lists, details = sampledata.table_pages(spark, sf_dir)
-    return _plain(harvest.harvest_table(lists, details, AS_OF).select(*schema.LISTING_COLUMNS))
+    return _plain(harvest.harvest_table(lists, details, AS_OF).select(*schema.LISTING_COLUMNS), None)
 
 
 def assembled_label(spark, sf_dir):
     lists, details = sampledata.label_pages(spark, sf_dir)
-    return _plain(harvest.harvest_label(lists, details, AS_OF))
+    return _plain(harvest.harvest_label(lists, details, AS_OF), None)
 
 
 def extraction_log(spark, sf_dir):
@@ -370,7 +370,8 @@ def extraction_log(spark, sf_dir):
 
 def model_features(spark, sf_dir):
     rows = normalize.normalize(sampledata.priced_listings(spark, sf_dir))
-    return _plain(features.feature_table(rows))
+    table = _plain(features.feature_table(rows), None)
+    return table.withColumn("log_price", F.round("log_price", 6))
 
 
 def model_row_counts(spark, sf_dir):
@@ -564,7 +565,7 @@ def csv_scan(spark, sf_dir):
     raw = sampledata.listings(spark, sf_dir).drop("feed")
     raw.write.option("header", True).option("escape", '"').csv(f"{folder}/one.csv")
     absent = f"{folder}/absent.csv"
-    return _plain(readers.read_present(spark, [f"{folder}/one.csv", absent]))
+    return _plain(readers.read_present(spark, [f"{folder}/one.csv", absent]), None)
 
 
 def import_scan(spark, sf_dir):
@@ -591,7 +592,7 @@ def anomaly_report(spark, sf_dir):
 def json_scan(spark, sf_dir):
     folder = _scratch(spark, "feeds")
     sampledata.listings(spark, sf_dir).drop("feed").write.json(f"{folder}/one.json")
-    return _plain(readers.read_present(spark, [f"{folder}/one.json"]))
+    return _plain(readers.read_present(spark, [f"{folder}/one.json"]), None)
 
 
 def history_roundtrip(spark, sf_dir):
