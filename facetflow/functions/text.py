@@ -16,7 +16,13 @@ DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 UNSIGNED_NUMBER = r"(\d+(?:\.\d+)?)"
 
 # Date layouts accepted besides ISO dates and timestamps.
-DATE_FORMATS = ["M/d/yyyy", "yyyy/M/d", "d-MMM-yyyy", "MMM d, yyyy", "yyyyMMdd"]
+DATE_FORMATS = [
+    "M/d/yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "d-MMM-yyyy",
+    "MMM d, yyyy",
+    "yyyyMMdd",
+]
 
 # Texts that stand for "no secondary colour".
 NO_MODIFIER = ["no overtone", "none", "n/a"]

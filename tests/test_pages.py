@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from facetflow.functions import html
 from facetflow.operators import assemble, pages
 from facetflow.plans import harvest

@@ -30,7 +30,7 @@ def test_percent_sign_is_dropped(spark):
 
 def test_dates_in_listed_layouts(spark):
     day = datetime.date(2026, 1, 2)
-    values = ["2026-01-02", "2026-01-02T03:04:05Z", "01/02/2026", "Jan 2, 2026", "2-Jan-2026"]
+    values = ["2026-01-02", "2026-01-02T03:04:05Z", "01/02/2026", "1/2/2026 10:05", "2026/1/2 1:02:03", "Jan 2, 2026", "2-Jan-2026"]
     assert set(apply(spark, values, text.to_date).values()) == {day}
     assert apply(spark, ["soon", ""], text.to_date) == {"soon": None, "": None}
 
