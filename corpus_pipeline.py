@@ -1,22 +1,63 @@
-"""Documents cleaned and packed by five of the numbered operators."""
+"""Documents judged, cleaned, deduplicated, decontaminated and packed by five of the numbered operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from facetflow.llm import packing, queries
+from facetflow.llm import decontamination, line_dedup, packing, quality, queries, simhash
+from facetflow.session import write_out
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without lines that an earlier document or line has; ``n_chars`` follows the text."""
+    cleaned = line_dedup.dedup_lines(docs)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group.
+
+    Rows that share an id are one document; rows without an id are one per text.
+    """
+    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    one = kept.withColumn("_text", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "_text"])
+    return one.select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    flagged = decontamination.flag(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return flagged.where(F.size("items") == 0).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full sequences, with their ids."""
     return packing.pack(docs, queries.tokenizer_path())
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", without_repeated_lines),
+    ("SimHash near-dedup", without_near_duplicates),
+    ("benchmark decontamination", without_benchmark),
+    ("packing", pack),
+]
+
+#: Trained models, tokenizers and tilings are not for SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over all documents, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = write_out(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
