@@ -3,7 +3,7 @@
 A line of which an earlier line is equal or within ``edits`` edits is removed.
 Distinct lines are cut into ``edits + 1`` segments; a line within the distance
 must hold one of them, so substrings of the right lengths near the right places
-are looked up in an index of segments. Pairs that meet and whose letter parities
+are looked up in an index of segments. Pairs that meet and whose letter counts
 allow it are verified by a bit-parallel edit distance over the band of 2 edits + 1
 diagonals. DataFrame functions only.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 EDITS = 1
 LEAST_CHARS = 40
+#: Letters that are counted before a pair is verified; any eight give the same result.
+LETTERS = "etaonrsi"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -24,10 +26,20 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.struct("id", "t", "n").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "line")
 
 
-def _parities(line: Column) -> Column:
-    """64 bits, each the parity of the characters that hash to it; an edit turns two at most."""
-    bit = F.transform(F.split(line, ""), lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int")))
-    return F.aggregate(bit, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+def _letters(line: Column) -> Column:
+    """How often each of eight letters occurs, modulo 256, in the bytes of a long."""
+    counts = [F.pmod(F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(256)).cast("long") for c in LETTERS]
+    return sum((F.shiftleft(c, 8 * k) for k, c in enumerate(counts[1:], 1)), counts[0])
+
+
+def _letters_apart(a: str, b: str) -> Column:
+    """By how many letters two counts differ; an edit makes two at most."""
+
+    def one(k: int) -> Column:
+        d = F.abs(F.shiftright(a, 8 * k).bitwiseAND(F.lit(255)) - F.shiftright(b, 8 * k).bitwiseAND(F.lit(255)))
+        return F.least(d, 256 - d)
+
+    return sum((one(k) for k in range(1, len(LETTERS))), one(0))
 
 
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -62,16 +74,16 @@ def _probes(edits: int) -> Column:
     return F.array(*out)
 
 
-def within(a: str, b: str, edits: int) -> Column:
-    """The edit distance of columns ``a`` and ``b`` if it is ``edits`` at most, else null.
+def _band(a: Column, b: str, edits: int) -> Column:
+    """The edit distance of two arrays of characters if it is ``edits`` at most, else null.
 
     Bit d of the e-th word tells whether the prefix of ``b`` that ends d - edits
     places off the read prefix of ``a`` is within e edits of it.
     """
-    pattern, band = F.split(F.col(b), ""), range(2 * edits + 1)
+    band = range(2 * edits + 1)
 
     def mask(c: Column, i: Column) -> Column:
-        bits = [F.when(F.get(pattern, i + d - edits) == c, F.lit(1 << d)).otherwise(F.lit(0)) for d in band]
+        bits = [F.when(F.get(b, i + d - edits) == c, F.lit(1 << d)).otherwise(F.lit(0)) for d in band]
         return sum(bits[1:], bits[0]).cast("long")
 
     start = F.struct(*(F.lit(((1 << (e + 1)) - 1) << edits).cast("long").alias(f"r{e}") for e in range(edits + 1)))
@@ -85,25 +97,46 @@ def within(a: str, b: str, edits: int) -> Column:
             new.append(r.bitwiseAND(all_bits))
         return F.struct(*(r.alias(f"r{e}") for e, r in enumerate(new)))
 
-    letters = F.when(F.col(a) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(a), ""))
-    end = F.aggregate(F.transform(letters, mask), start, step)
-    place = (F.char_length(b) - F.char_length(a) + edits).cast("int")
-    reached = [F.when(F.call_function("shiftright", end[f"r{e}"], place).bitwiseAND(F.lit(1)) == 1, F.lit(e)) for e in range(edits + 1)]
-    return F.when(place.between(0, 2 * edits), F.coalesce(*reached))
+    place = (F.size(b) - F.size(a) + edits).cast("int")
+
+    def finish(s: Column) -> Column:
+        return F.coalesce(*(F.when(F.call_function("shiftright", s[f"r{e}"], place).bitwiseAND(F.lit(1)) == 1, F.lit(e)) for e in range(edits + 1)))
+
+    return F.when(place.between(0, 2 * edits), F.aggregate(F.transform(a, mask), start, step, finish))
+
+
+def with_distance(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
+    """Pairs whose columns ``a`` and ``b`` are within ``edits``, with their ``distance``.
+
+    The characters are columns of their own and the distance comes out of a
+    generator, so neither is computed more than once for a pair.
+    """
+
+    def characters(c: str) -> Column:
+        return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(c), ""))
+
+    split = pairs.select("*", characters(a).alias("_a"), characters(b).alias("_b"))
+    distance = F.array_compact(F.array(_band(F.col("_a"), "_b", edits)))
+    return split.select(*pairs.columns, F.explode(distance).alias("distance"))
 
 
 def _distinct(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
     lines = _lines(docs, id_col, text_col).where(F.char_length("line") >= least_chars)
-    return lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.max("line").alias("line"))
+    return lines.withColumn("letters", _letters(F.col("line"))).groupBy("h1", "h2").agg(
+        F.min("at").alias("first"), F.count("*").alias("n"), F.max("line").alias("line"), F.max("letters").alias("letters")
+    )
 
 
 def line_links(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs of different lines (``a1, a2`` and ``b1, b2``, their hashes) within ``edits``, with ``distance``."""
-    sized = lines.select("h1", "h2", "line", F.char_length("line").alias("size")).withColumn("parity", _parities(F.col("line")))
-    index = sized.select(F.explode(_index(edits)).alias("key"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("parity").alias("pa"))
-    probe = sized.select(F.explode(_probes(edits)).alias("key"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("parity").alias("pb"))
+    """Pairs of different lines (``a1, a2`` and ``b1, b2``, their hashes) within ``edits``, with ``distance``.
+
+    ``lines`` has ``h1, h2, line, letters``, each line once.
+    """
+    sized = lines.select("h1", "h2", "line", "letters", F.char_length("line").alias("size"))
+    index = sized.select(F.explode(_index(edits)).alias("key"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("letters").alias("la"))
+    probe = sized.select(F.explode(_probes(edits)).alias("key"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("letters").alias("lb"))
     differ = (F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))
-    alike = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits
+    alike = _letters_apart("la", "lb") <= 2 * edits
     met = index.join(probe, (index["key"] == probe["key"]) & differ & alike)
     one, two = F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2")), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2"))
     pairs = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
@@ -111,7 +144,7 @@ def line_links(lines: DataFrame, edits: int) -> DataFrame:
     texts = sides.join(lines.select("h1", "h2", "line"), ["h1", "h2"]).groupBy("a", "b").agg(
         F.max(F.when(F.col("first_side"), F.col("line"))).alias("x"), F.max(F.when(~F.col("first_side"), F.col("line"))).alias("y")
     )
-    checked = texts.withColumn("distance", within("x", "y", edits)).where("distance is not null")
+    checked = with_distance(texts, "x", "y", edits)
     return checked.select(F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2"), "distance")
 
 
