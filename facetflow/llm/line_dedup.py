@@ -141,7 +141,8 @@ def line_links(lines: DataFrame, edits: int) -> DataFrame:
     one, two = F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2")), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2"))
     pairs = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
     sides = pairs.select(F.explode(F.array(F.struct("a", "b", F.lit(True).alias("first_side"), F.col("a").alias("h")), F.struct("a", "b", F.lit(False).alias("first_side"), F.col("b").alias("h")))).alias("s")).select("s.a", "s.b", "s.first_side", F.col("s.h.h1").alias("h1"), F.col("s.h.h2").alias("h2"))
-    texts = sides.join(lines.select("h1", "h2", "line"), ["h1", "h2"]).groupBy("a", "b").agg(
+    # Read with the letters, as above, so that Spark shuffles the lines once for all three uses.
+    texts = sides.join(lines.where("letters is not null").select("h1", "h2", "line"), ["h1", "h2"]).groupBy("a", "b").agg(
         F.max(F.when(F.col("first_side"), F.col("line"))).alias("x"), F.max(F.when(~F.col("first_side"), F.col("line"))).alias("y")
     )
     checked = with_distance(texts, "x", "y", edits)
@@ -161,7 +162,7 @@ def removed_lines(
     links = line_links(lines, edits)
     both = links.select("a1", "a2", "b1", "b2").union(links.select("b1", "b2", "a1", "a2"))
     firsts = lines.select("h1", "h2", "first", "n")
-    near = both.join(firsts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other")), ["b1", "b2"])
+    near = both.join(firsts.where("n > 0").select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other")), ["b1", "b2"])
     near = near.groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"), F.count("*").alias("links"))
     kept = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or links is not null")
     kept = kept.select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("keeper"), F.coalesce("links", F.lit(0)).alias("links"))
