@@ -84,6 +84,11 @@ def _keyed(rows: DataFrame, size: int, seed: int) -> DataFrame:
     return rows.mapInArrow(run, f"curve int, key long, id {dict(rows.dtypes)['id']}, v array<double>, query boolean")
 
 
+def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row, added up component by component."""
+    return np.add.reduce(np.ascontiguousarray((a * b).T), axis=0)
+
+
 def _best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Indices of each query's ``k`` best pairs, ties to the smaller id."""
     order = np.lexsort((ids, -score, q))
@@ -107,7 +112,7 @@ def _windows(k: int):
                 a, b = part[i], near[real]
                 other = ids[a] != ids[b]
                 a, b = a[other], b[other]
-                score = (v[a] * v[b]).sum(axis=1)
+                score = _inner(v[a], v[b])
                 best = _best(a, ids[b], score, k)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a[best]]), pa.array(ids[b[best]]), pa.array(score[best])], names=["q", "id", "score"])
 
@@ -162,7 +167,7 @@ def _walk(sent, k: int):
                     q = part[i]
                     other = q_ids[q] != ids[j]
                     q, j = q[other], j[other]
-                    held.append((q, ids[j], (q_v[q] * v[j]).sum(axis=1)))
+                    held.append((q, ids[j], _inner(q_v[q], v[j])))
                     pending += len(q)
                     if pending > _PAIRS:
                         reduce()

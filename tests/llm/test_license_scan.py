@@ -1,0 +1,72 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from facetflow.llm import license_scan
+
+from .cases import documents, empty
+
+KEYS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+
+
+def brute(text):
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(table))
+    at, labels = [], set()
+    for phrase, label in license_scan.BASE.items():
+        p = phrase.split()
+        found = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        at += found
+        labels |= {label} if found else set()
+    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def test_base_places_equal_brute_force(spark):
+    rows = [
+        (1, "Under THE mit license, under the MIT-License cc by nc cc by nc"),
+        (2, "Apache License, Version 2.0 é under the mit licensé"),
+        (3, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+        (4, None),
+        (5, ""),
+        (6, "cc by"),
+        (7, "x " * 30_000 + "cc by nc " * 3_000),
+        (7, "cc by nc"),
+        (8, "cc by nc"),
+        (8, "cc by nc"),
+        (None, "licensed under the Mit License"),
+        (9, "licensed under CC BY-NC 4.0 İstanbul Kc by nc"),
+    ]
+    got = sorted(map(tuple, license_scan.scan(documents(spark, rows)).select(KEYS).collect()), key=str)
+    assert got == sorted([(i, *brute(t)) for i, t in rows], key=str)
+
+
+def test_labels_of_the_method(spark):
+    rows = [
+        (1, "Permission is hereby granted, free of charge, to any good person obtaining a copy of this software"),
+        (2, "This work is licensed under the GNU General Public License, version 3."),
+        (3, "permission to copy software is not the mit way"),
+        (4, "Released under the MIT License."),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(documents(spark, rows)).collect()}
+    assert got[1].labels == "mit" and got[1].base_labels == "" and 0.8 <= got[1].score < 1  # a word put in: two diagonals
+    assert got[2].labels == "gpl-3" and got[2].score == 1.0
+    assert got[3].labels == "" and got[3].score < 0.8
+    assert got[4].base_labels == got[4].labels == "mit"
+
+
+def test_empty_table(spark):
+    out = license_scan.scan(empty(spark))
+    assert out.columns == [*KEYS, "labels", "score"] and out.count() == 0
+
+
+def test_no_python(spark):
+    plan = license_scan.scan(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("text", ["K", "kK", "Åb", "İI", "ß", "ΑΣ"])
+def test_other_letters_are_not_folded_into_ascii(spark, text):
+    words = spark.range(1).select(license_scan.words(F.lit(text)).alias("w")).first().w
+    ascii_only = re.findall(r"[a-z]+", "".join(words))
+    assert ascii_only == re.findall(r"[a-z]+", "".join(c.lower() if c.isascii() else "☃" if c != "İ" else "i☃" for c in text))
