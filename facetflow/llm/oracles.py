@@ -21,7 +21,7 @@ OP1 = rf"""
 with templates(template, label, base, phrase) as (values {_TEMPLATES}),
 cut as (select template, label, base, string_split(phrase, ' ') as w from templates),
 places as (
-  select template, label, base, len(w) - 2 as runs, i - 1 as at, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as run
+  select template, label, base, len(w) - 2 as runs, i - 1 as spot, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as run
   from cut, unnest(range(1, len(w) - 1)) as r(i)
 ),
 docs as (
@@ -34,7 +34,7 @@ runs as (
   from docs, unnest(range(1, len(w) - 1)) as r(i)
 ),
 votes as (
-  select rn, template, label, base, runs, word - at as diagonal, count(*) as votes, min(word) as first, max(word) as last
+  select rn, template, label, base, runs, word - spot as diagonal, count(*) as votes, min(word) as first, max(word) as last
   from runs join places using (run) group by all
 ),
 marked as (
