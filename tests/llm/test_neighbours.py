@@ -41,7 +41,7 @@ def test_equals_brute_force(spark, monkeypatch, seed, spread):
 
 
 def test_nulls_zeros_ties_and_repeats(spark):
-    one = [1.0, 0, 0, 0, 0, 0, 0, 0]
+    one = [1.0] + [0.0] * 7
     rows = [(i, one) for i in range(60)]  # all tie
     rows += [(100, None), (120, [0.0] * 8), (101, [None, *one[1:]]), (102, [float("inf"), *one[1:]]), (103, [float("nan"), *one[1:]])]
     rows += [(104, [1.0]), (None, one), (40, one), (41, [0.5, *one[1:]]), (140, []), (61, [-x for x in one])]
@@ -49,7 +49,7 @@ def test_nulls_zeros_ties_and_repeats(spark):
 
 
 def test_fewer_candidates_and_empty_table(spark):
-    v = [0.0, 1.0, 0, 0, 0, 0, 0, 0]
+    v = [0.0, 1.0] + [0.0] * 6
     assert same(search(spark, [(20, v), (21, v)]), {(20, 1, 21, 1.0)})
     assert search(spark, [(20, v)]) == set()
     empty = neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0)
