@@ -36,6 +36,7 @@ from facetflow.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-02-01"
 TIE = ["source_url"]
+RERUN = "20240115T000000Z"
 LIMITS = gates.Thresholds(min_new_rows=0, min_coverage_multiple=1.0, max_vendor_share=0.25)
 REQUIRED = gates.Required(growth=True, min_active_vendors=True, coverage=True, exit=True)
 
@@ -422,7 +423,7 @@ def bucket_medians(spark, sf_dir):
 def baseline_cv(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
     folds = splits.vendor_folds(rows)
-    with_fold = rows.join(F.broadcast(folds), "vendor")
+    with_fold = rows.join(folds, "vendor")
     scored = baseline.predict_baseline(with_fold, baseline.fit_baseline(with_fold, "fold"))
     per_fold = scored.groupBy("vendor").agg(
         F.count("*").alias("rows"),
@@ -595,16 +596,40 @@ def json_scan(spark, sf_dir):
     return _plain(readers.read_present(spark, [f"{folder}/one.json"]), None)
 
 
-def history_roundtrip(spark, sf_dir):
-    """Append every run twice; the second time changes nothing."""
-    path = _scratch(spark, "history")
+def _aligned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = sampledata.history(spark, sf_dir)
-    aligned = history.select(
+    return history.select(
         *[
             F.col(f.name) if f.name in history.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.HISTORY_SCHEMA
         ]
     )
+
+
+def history_rerun_empty(spark, sf_dir):
+    """Every run, then one of them again without rows: it is gone."""
+    path = _scratch(spark, "history")
+    writers.append_history(_aligned_history(spark, sf_dir), path)
+    writers.append_history(_aligned_history(spark, sf_dir).where("false"), path, RERUN)
+    return readers.read_history(spark, path).groupBy("run_id").agg(F.count("*").alias("rows"))
+
+
+def history_batch_then_stream(spark, sf_dir):
+    """Earlier runs by batch, the others through the stream, into one history."""
+    path = _scratch(spark, "history")
+    writers.append_history(_aligned_history(spark, sf_dir).where(F.col("run_id") <= RERUN), path)
+    files = spark.readStream.schema(sampledata.table(spark, sf_dir, "events").schema)
+    arriving = files.option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    ingest.ingest_stream(
+        arriving, lambda rows: sampledata.history_of(rows).where(F.col("run_id") > RERUN), path, _scratch(spark, "progress")
+    )
+    return readers.read_history(spark, path).groupBy("run_id").agg(F.count("*").alias("rows"))
+
+
+def history_roundtrip(spark, sf_dir):
+    """Append every run twice; the second time changes nothing."""
+    path = _scratch(spark, "history")
+    aligned = _aligned_history(spark, sf_dir)
     writers.append_history(aligned, path)
     writers.append_history(aligned.where("run_id > '20240115'"), path)
     return _plain(runs.run_growth(readers.read_history(spark, path)))
@@ -734,6 +759,8 @@ QUERIES: dict[str, Query] = {
         anomaly_report,
         json_scan,
         history_roundtrip,
+        history_rerun_empty,
+        history_batch_then_stream,
         history_stream,
         merge_clean,
         run_summary,

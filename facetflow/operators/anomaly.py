@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetflow.functions import text
-from facetflow.operators.quantiles import HOT_ROWS, group_quantiles, hot_groups
+from facetflow.operators.quantiles import group_quantiles
 
 # Default thresholds.
 Z_THRESHOLD = 2.5
@@ -28,13 +28,13 @@ def valid_history(history: DataFrame) -> DataFrame:
     return df.dropna(subset=["price_usd", "listing_key", "scraped_at"])
 
 
-def price_stats(history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def price_stats(history: DataFrame) -> DataFrame:
     """Count, exact median and sample deviation of the price per listing."""
     rows = valid_history(history)
     stats = rows.groupBy("listing_key").agg(
         F.count("*").alias("count"), F.stddev_samp("price_usd").alias("std")
     )
-    medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5, hot_rows)
+    medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5)
     return stats.join(medians.withColumnRenamed("quantile", "median"), "listing_key")
 
 
@@ -44,14 +44,11 @@ def detect_mispriced(
     min_points: int = MIN_POINTS,
     drop_share: float = DROP_SHARE,
     ordered: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every listing with enough points: its latest row, statistics and flags.
 
-    Without hot listings the latest row and all statistics come from a single
-    aggregation, one shuffle. Listings with more than ``hot_rows`` points get
-    their exact median from bounded histograms instead (see ``quantiles``); all
-    other statistics of a listing are constant-size partial aggregates, so no
+    The latest row, count and deviation of a listing are constant-size partial
+    aggregates and the exact median comes from counts (see ``quantiles``), so no
     task ever holds the points of a hot listing.
     """
     rows = valid_history(history)
@@ -63,14 +60,9 @@ def detect_mispriced(
         "std": F.stddev_samp("price_usd"),
         "_latest": F.max_by(F.struct(*carried), newest),
     }
-    hot = hot_groups(rows, ["listing_key"], hot_rows)
-    if hot is None:
-        summary["median"] = F.percentile("price_usd", F.lit(0.5))
-        grouped = rows.groupBy("listing_key").agg(*[c.alias(n) for n, c in summary.items()])
-    else:
-        grouped = rows.groupBy("listing_key").agg(*[c.alias(n) for n, c in summary.items()])
-        medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5, hot_rows, hot=hot)
-        grouped = grouped.join(medians.withColumnRenamed("quantile", "median"), "listing_key")
+    grouped = rows.groupBy("listing_key").agg(*[c.alias(n) for n, c in summary.items()])
+    medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5)
+    grouped = grouped.join(medians.withColumnRenamed("quantile", "median"), "listing_key")
 
     price = F.col("price_usd")
     out = grouped.where(F.col("count") >= min_points).select(

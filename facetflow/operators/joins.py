@@ -1,4 +1,4 @@
-"""Joins whose broadcast side is checked before it is broadcast."""
+"""Null-safe lookup joins."""
 
 from __future__ import annotations
 
@@ -7,32 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A table of this many narrow rows stays in the tens of megabytes.
-BROADCAST_ROWS = 200_000
 
-
-def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``limit`` rows; call it on a cut table."""
-    return table.limit(limit + 1).count() <= limit
-
-
-def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    small: bool | None = None,
-) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", fixed: bool = False) -> DataFrame:
     """Null-safe equi-join of many rows with a lookup table.
 
-    The table is broadcast only where its row count was checked; otherwise
-    Spark shuffles both sides and adaptive execution splits skewed keys.
+    The table is broadcast only where its definition fixes its size (``fixed``);
+    otherwise Spark goes by bytes, and adaptive execution splits skewed keys.
     """
     renamed = table
     for key in keys:
         renamed = renamed.withColumnRenamed(key, f"_right_{key}")
     matches = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
-    if small:
+    if fixed:
         renamed = F.broadcast(renamed)
     joined = rows.join(renamed, reduce(lambda a, b: a & b, matches), how)
     if how in ("left_semi", "left_anti"):

@@ -1,296 +1,147 @@
-"""Exact quantiles of groups of any size.
-
-``percentile`` keeps the distinct values of a group in one buffer. That is the
-cheapest plan for the many small groups of a price history, and the wrong one
-for a group that holds a large share of all rows. Such groups go through
-histograms instead: count the values of the group in a fixed number of equal
-slices, keep the slice the wanted rank falls in, and slice that again. Each
-round is one scan with a map-side combined count; what a round leaves behind is
-one small row per group and rank. The result is exact for any data: a round
-always separates the smallest value of a slice from its largest.
+"""Exact quantiles of groups of any size, by one plan.
+
+Equal values of a group are counted first. Every value belongs to a slice, a
+fixed function of the value that never falls as it rises; the counts of a
+group's slices give the rank at which each slice starts, and only inside a slice
+are values ranked one by one. So neither a large group nor a common value meets
+in one task, the plan is the same at every size, and nothing runs before an
+action. Infinite values take part, values that are not numbers do not.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetflow.operators.joins import BROADCAST_ROWS, is_small, lookup_join
-from facetflow.session import cut
-
-# Groups above this many rows are not given to one aggregation buffer. A task
-# holds the buffers of a hundred groups or so before it starts to sort instead.
-HOT_ROWS = 200_000
-# Slices of this many rows or fewer are ranked value by value.
-FINISH_ROWS = 2_000
-# A whole column is a single group, so its buffer may be this much larger.
-WHOLE_COLUMN = 5
-# Leave-one-out quantiles of this many parts may share one aggregation.
-FEW_PARTS = 16
-# Most slices of one round; small groups are cut into fewer.
+# Slices of a power of two; only the spread of the work depends on it.
 SLICES = 4096
+# Beyond the exponents of doubles, so that every slice of a number above zero is positive.
+_EXPONENTS = 1100
+# Ranks that are looked up together.
+_RANKS = 64
+
+
+def _slice(x: Column) -> Column:
+    """The place of a value on a scale with ``SLICES`` steps per power of two."""
+    size = F.abs(x)
+    power = F.least(F.floor(F.log2(size)), F.lit(1023))
+    step = power * SLICES + F.floor((size / F.pow(F.lit(2.0), power) - 1) * SLICES) + _EXPONENTS * SLICES
+    beyond = F.lit(2 * _EXPONENTS * SLICES)
+    place = F.when(x == 0, F.lit(0)).when(size == float("inf"), beyond).otherwise(step).cast("long")
+    return F.when(x < 0, -place).otherwise(place)
+
+
+def _before(n: str, window) -> Column:
+    """Sum of ``n`` over the rows before this one."""
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``_g, _part, _x`` counted (``_c``), with the first rank of each count and the group's size ``_n``."""
+    items = rows.groupBy("_g", "_part", "_x").agg(F.count("*").alias("_c")).withColumn("_slice", _slice(F.col("_x")))
+    slices = items.groupBy("_g", "_slice").agg(F.sum("_c").alias("_s"))
+    group = Window.partitionBy("_g")
+    starts = slices.select(
+        "_g", "_slice", _before("_s", group.orderBy("_slice")).alias("_start"), F.sum("_s").over(group).alias("_n")
+    )
+    inside = Window.partitionBy("_g", "_slice").orderBy("_x", "_part")
+    ranked = items.withColumn("_rank", _before("_c", inside)).join(starts, ["_g", "_slice"])
+    return ranked.withColumn("_rank", F.col("_start") + F.col("_rank")).drop("_start")
 
-_EVERYTHING = "_everything"
 
+def _position(q: float, n: Column) -> Column:
+    return F.lit(float(q)) * (n - 1)
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of the groups above ``hot_rows`` rows, written out; None if there are none.
 
-    At most (rows / hot_rows) groups can be hot, however many groups there are.
-    """
-    hot = df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
-    hot = cut(hot)
-    return None if hot.isEmpty() else hot
+def _between(low: Column, high: Column, position: Column) -> Column:
+    """Linear between the two ranks; equal ends give their value, infinite ones too."""
+    fraction = position - F.floor(position)
+    return F.when((low == high) | (fraction == 0), low).otherwise(low + (high - low) * fraction)
 
 
-def group_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    q: float,
-    hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
     """``keys, quantile``: one exact quantile per group, linear between ranks."""
-    if hot is None:
-        hot = hot_groups(df, keys, hot_rows)
-    if hot is None:
-        return df.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias("quantile"))
-    small = is_small(hot)
-    cold = lookup_join(df, hot, keys, "left_anti", small)
-    cold = cold.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias("quantile"))
-    large = lookup_join(df, hot, keys, "left_semi", small)
-    return cold.unionByName(
-        exact_quantiles(large, keys, value, [q], ["quantile"], hot_rows=hot_rows)
-    )
+    return exact_quantiles(df, keys, value, [q], ["quantile"])
 
 
-def global_quantiles(
-    df: DataFrame, value: str, qs: list[float], names: list[str], finish_rows: int = FINISH_ROWS
-) -> DataFrame:
+def global_quantiles(df: DataFrame, value: str, qs: list[float], names: list[str]) -> DataFrame:
     """One row: exact quantiles of a whole column."""
-    return exact_quantiles(df, [], value, qs, names, finish_rows=finish_rows)
+    return exact_quantiles(df, [], value, qs, names)
 
 
 def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    qs: list[float],
-    names: list[str],
-    leave_out: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    finish_rows: int = FINISH_ROWS,
-    slices: int = SLICES,
+    df: DataFrame, keys: list[str], value: str, qs: list[float], names: list[str], leave_out: str | None = None
 ) -> DataFrame:
-    """Exact quantiles of a moderate number of groups, which may be large.
+    """Exact quantiles per group; a null key is a key of its own.
 
     With ``leave_out`` the result has one row per group and value of that
     column: the quantile of the group's rows that do *not* have the value.
     Groups left empty give no row.
-
-    The groups are counted first. If no buffer would grow too large, one
-    aggregation gives the result; otherwise the groups
-    are sliced, and all leave-one-out quantiles come from the same counts by
-    subtraction, so that no row is copied once per training split.
     """
-    groups = [*keys, _EVERYTHING]
-    rows = df.where(F.col(value).isNotNull()).select(
-        *keys,
-        F.lit(0).alias(_EVERYTHING),
-        F.col(value).cast("double").alias("_x"),
-        (F.col(leave_out).cast("string") if leave_out else F.lit(None).cast("string")).alias(
-            "_part"
-        ),
-    )
-    sizes = rows.groupBy(*groups, "_part").agg(
-        F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
-    )
-    sizes = cut(sizes)
-    parts = [r["_part"] for r in sizes.select("_part").distinct().limit(FEW_PARTS + 1).collect()]
-    largest = sizes.groupBy(*groups).agg(F.sum("_n").alias("_n")).agg(F.max("_n")).first()[0] or 0
-    buffered = hot_rows if keys else WHOLE_COLUMN * hot_rows
-    if len(parts) <= FEW_PARTS and largest * len(parts) <= buffered:
-        out = _buffered(rows, keys, groups, qs, names, leave_out, parts)
-    else:
-        targets = _targets(sizes, groups, qs, leave_out is not None)
-        done = _sliced(rows, targets, groups, finish_rows, slices)
-        out = _interpolate(done, keys, groups, qs, names, leave_out)
+    x = F.col(value).cast("double") + F.lit(0.0)  # one zero
+    part = F.col(leave_out) if leave_out else F.lit(None).cast("string")
+    key = F.struct(F.lit(0).alias("_all"), *keys)
+    rows = df.select(key.alias("_g"), part.alias("_part"), x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    ranked = _ranked(rows)
     if leave_out:
-        out = out.withColumn(leave_out, F.col(leave_out).cast(df.schema[leave_out].dataType))
-    return out
-
-
-def _buffered(
-    rows: DataFrame,
-    keys: list[str],
-    groups: list[str],
-    qs: list[float],
-    names: list[str],
-    leave_out: str | None,
-    parts: list[str | None],
-) -> DataFrame:
-    """One aggregation with a buffer per group and left-out part."""
-    wanted = F.array(*[F.lit(float(q)) for q in qs])
-    if not leave_out:
-        out = rows.groupBy(*groups).agg(F.percentile("_x", wanted).alias("_p"))
+        out = _left_out(ranked, qs, names).withColumnRenamed("_part", leave_out)
     else:
-        splits = []
-        for part in (p for p in parts if p is not None):
-            is_part = F.col("_part").eqNullSafe(F.lit(part))
-            value = F.percentile(F.when(~is_part, F.col("_x")), wanted)
-            value = F.when(F.count_if(is_part) > 0, value)
-            splits.append(F.struct(F.lit(part).alias(leave_out), value.alias("_p")))
-        each = rows.groupBy(*groups).agg(F.array(*splits).alias("_splits"))
-        out = each.select(*keys, F.inline("_splits")).where(F.col("_p").isNotNull())
-    kept = [*keys, leave_out] if leave_out else keys
-    return out.select(*kept, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        out = _plain(ranked, qs, names)
+    kept = [F.col("_g").getField(k).alias(k) for k in keys]
+    return out.select(*kept, *([leave_out] if leave_out else []), *names)
 
 
-def _sliced(
-    rows: DataFrame, targets: DataFrame, groups: list[str], finish_rows: int, slices: int
-) -> DataFrame:
-    """Every target with the value at its rank in ``_lo`` (and ``_hi``)."""
-    targets = cut(targets)
-    open_targets = targets.where("_lo < _hi")
-    done = targets.where("_lo = _hi")
-    while True:
-        widest, n_open = open_targets.agg(F.max("_inside"), F.count("*")).first()
-        if n_open == 0:
-            break
-        small = n_open <= BROADCAST_ROWS
-        if widest <= finish_rows:
-            done = done.unionByName(_narrow(rows, open_targets, groups, None, small))
-            break
-        pieces = min(slices, max(16, 8 * widest // finish_rows))
-        state = cut(_narrow(rows, open_targets, groups, pieces, small))
-        done = done.unionByName(state.where("_lo = _hi"))
-        open_targets = state.where("_lo < _hi")
-    return done
+def _plain(ranked: DataFrame, qs: list[float], names: list[str]) -> DataFrame:
+    """The values at the wanted ranks of every group."""
 
+    def at(rank: Column) -> Column:
+        here = (F.col("_rank") <= rank) & (rank < F.col("_rank") + F.col("_c"))
+        return F.max(F.when(here, F.col("_x")))
 
-def _targets(sizes: DataFrame, groups: list[str], qs: list[float], leaving_out: bool) -> DataFrame:
-    """One row per group, split and wanted rank, with the interval it lies in."""
-    if leaving_out:
-        per_group = Window.partitionBy(*groups)
-        splits = sizes.select(
-            *groups,
-            F.col("_part").alias("_split"),
-            (F.sum("_n").over(per_group) - F.col("_n")).alias("_rest"),
-            F.sum("_n").over(per_group).alias("_inside"),
-            F.min("_min").over(per_group).alias("_lo"),
-            F.max("_max").over(per_group).alias("_hi"),
-        )
-    else:
-        splits = sizes.select(
-            *groups,
-            F.lit(None).cast("string").alias("_split"),
-            F.col("_n").alias("_rest"),
-            F.col("_n").alias("_inside"),
-            F.col("_min").alias("_lo"),
-            F.col("_max").alias("_hi"),
-        )
-    wanted = []
-    for i, q in enumerate(qs):
-        position = F.lit(float(q)) * (F.col("_rest") - 1)
-        for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
-            wanted.append(
-                F.struct(
-                    F.lit(i).alias("_q"),
-                    F.lit(side).alias("_side"),
-                    rank.cast("long").alias("_rank"),
-                    (position - F.floor(position)).alias("_fraction"),
-                )
-            )
-    exploded = splits.where("_rest > 0").withColumn("_wanted", F.explode(F.array(*wanted)))
-    return exploded.select(
-        *groups, "_split", "_wanted.*", F.lit(0).cast("long").alias("_before"), "_inside", "_lo", "_hi"
-    )
-
-
-def _narrow(
-    rows: DataFrame, targets: DataFrame, groups: list[str], slices: int | None, small: bool
-) -> DataFrame:
-    """Move every target into the slice, or onto the value, that holds its rank."""
-    intervals = targets.select(*groups, "_lo", "_hi").distinct()
-    if groups == [_EVERYTHING]:
-        inside = _within(rows, [(r["_lo"], r["_hi"]) for r in intervals.collect()])
-    else:
-        inside = lookup_join(rows, intervals, groups, "inner", small)
-        inside = inside.where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-    if slices is None:
-        slot = F.col("_x")
-    else:
-        # Halved before subtracting, so that the widest interval stays finite.
-        share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        slot = F.least(F.floor(share * slices), F.lit(slices - 1)).cast("double")
-    interval = [*groups, "_lo", "_hi"]
-    counts = inside.groupBy(*interval, "_part", slot.alias("_slot")).agg(
-        F.count("*").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max")
-    )
-    own = F.when(F.col("_part").isNotNull(), F.struct("_part", "_n"))
-    totals = counts.groupBy(*interval, "_slot").agg(
-        F.sum("_n").alias("_total"),
-        F.min("_min").alias("_min"),
-        F.max("_max").alias("_max"),
-        F.map_from_entries(F.collect_list(own)).alias("_own"),
-    )
-    steps = lookup_join(totals, targets, interval, "inner", small)
-    left_out = F.coalesce(F.try_element_at("_own", F.col("_split")), F.lit(0))
-    steps = steps.withColumn("_others", F.col("_total") - left_out)
-    target = [*groups, "_split", "_q", "_side"]
-    through = F.sum("_others").over(Window.partitionBy(*target).orderBy("_slot"))
-    steps = steps.withColumn("_through", F.col("_before") + through)
-    hit = (F.col("_through") - F.col("_others") <= F.col("_rank")) & (
-        F.col("_rank") < F.col("_through")
-    )
-    return steps.where(hit).select(
-        *groups,
-        "_split",
-        "_q",
-        "_side",
-        "_rank",
-        "_fraction",
-        (F.col("_through") - F.col("_others")).alias("_before"),
-        F.col("_total").alias("_inside"),
-        F.col("_min").alias("_lo"),
-        F.col("_max").alias("_hi"),
-    )
+    picked = []
+    for q, name in zip(qs, names):
+        position = _position(q, F.col("_n"))
+        picked += [at(F.floor(position)).alias(f"_low_{name}"), at(F.ceil(position)).alias(f"_high_{name}")]
+    found = ranked.groupBy("_g", "_n").agg(*picked)
+    ends = [_between(F.col(f"_low_{n}"), F.col(f"_high_{n}"), _position(q, F.col("_n"))).alias(n) for q, n in zip(qs, names)]
+    return found.select("_g", *ends)
 
 
-def _within(rows: DataFrame, intervals: list[tuple[float, float]]) -> DataFrame:
-    """Rows of the whole column with each interval they lie in.
+def _left_out(ranked: DataFrame, qs: list[float], names: list[str]) -> DataFrame:
+    """Quantiles of each group without each of its parts, from the ranks in the whole group.
 
-    There are at most two intervals per wanted quantile and split, so they are
-    literals of the plan: the scan can filter on them and nothing is joined.
+    The r-th of the others stands at rank r plus the number of own rows that
+    have at most r others before them. So a part needs one sum over its own rows
+    and one look at the value of a rank, however many parts there are.
     """
-    x = F.col("_x")
-    near = reduce(lambda a, b: a | b, [x.between(lo, hi) for lo, hi in intervals])
-    pairs = F.array(
-        *[F.struct(F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi")) for lo, hi in intervals]
+    own = ranked.where(F.col("_part").isNotNull())
+    slices = own.groupBy("_g", "_part", "_slice").agg(F.sum("_c").alias("_s"))
+    part = Window.partitionBy("_g", "_part")
+    starts = slices.select(
+        "_g", "_part", "_slice", _before("_s", part.orderBy("_slice")).alias("_start"), F.sum("_s").over(part).alias("_own")
     )
-    each = rows.where(near).withColumn("_interval", F.explode(pairs))
-    return each.select("*", "_interval.*").drop("_interval").where(x.between(F.col("_lo"), F.col("_hi")))
-
-
-def _interpolate(
-    done: DataFrame,
-    keys: list[str],
-    groups: list[str],
-    qs: list[float],
-    names: list[str],
-    leave_out: str | None,
-) -> DataFrame:
-    def at(i, side):
-        return F.max(F.when((F.col("_q") == i) & (F.col("_side") == side), F.col("_lo")))
-
-    picked = []
-    for i in range(len(qs)):
-        fraction = F.max(F.when(F.col("_q") == i, F.col("_fraction")))
-        low, high = at(i, "low"), at(i, "high")
-        picked.append((low + (high - low) * fraction).alias(names[i]))
-    out = done.groupBy(*groups, "_split").agg(*picked)
-    split = [F.col("_split").alias(leave_out)] if leave_out else []
-    return out.select(*keys, *split, *names)
+    inside = Window.partitionBy("_g", "_part", "_slice").orderBy("_x")
+    own = own.withColumn("_mine", _before("_c", inside)).join(starts, ["_g", "_part", "_slice"])
+    others_before = F.col("_rank") - F.col("_start") - F.col("_mine")
+    rest = F.col("_n") - F.col("_own")
+    sums, sides = [], []
+    for i, q in enumerate(qs):
+        position = _position(q, rest)
+        for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            passed = F.coalesce(F.sum(F.when(others_before <= rank, F.col("_c"))), F.lit(0))
+            sums.append(passed.alias(f"_{side}{i}"))
+            sides.append(F.struct(F.lit(i).alias("_q"), F.lit(side).alias("_side"), (rank + F.col(f"_{side}{i}")).alias("_wanted")))
+    targets = own.where(rest > 0).groupBy("_g", "_part", "_n", "_own").agg(*sums)
+    targets = targets.select("_g", "_part", rest.alias("_rest"), F.inline(F.array(*sides)))
+    targets = targets.withColumn("_block", F.floor(F.col("_wanted") / _RANKS))
+    last = F.col("_rank") + F.col("_c") - 1
+    blocks = F.sequence(F.floor(F.col("_rank") / _RANKS), F.floor(last / _RANKS))
+    values = ranked.select("_g", "_x", F.col("_rank").alias("_first"), last.alias("_last"), F.explode(blocks).alias("_block"))
+    found = targets.join(values, ["_g", "_block"]).where(F.col("_wanted").between(F.col("_first"), F.col("_last")))
+
+    def at(i: int, side: str) -> Column:
+        return F.max(F.when((F.col("_q") == i) & (F.col("_side") == side), F.col("_x")))
+
+    ends = [_between(at(i, "low"), at(i, "high"), _position(q, F.first("_rest"))).alias(n) for i, (q, n) in enumerate(zip(qs, names))]
+    return found.groupBy("_g", "_part").agg(*ends)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from facetflow.catalog import AS_OF, LIMITS
+from pyspark.sql import types as T
+
+from facetflow.catalog import AS_OF, LIMITS, RERUN
+from facetflow.functions import features
+from facetflow.operators import model, quality, titles
+from facetflow.schema import LISTING_COLUMNS, LISTING_SCHEMA
 
 _FROM = """from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
 join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
@@ -138,15 +143,8 @@ _SIZE = "cast(width_mm as varchar) || ' x ' || cast(depth_mm as varchar) || ' x
 _TABLE_TITLE = f"concat({_LAB}, {_CARAT}, ' Carat ', {_INTENSITY}, ' Yellow-', {_GRADE}, ' ', shape, ' Cut Diamond')"
 _LABEL_TITLE = f"concat({_CARAT}, ' carat ', {_INTENSITY}, ' ', shape, ' Diamond ', {_GRADE}, ' ', {_LAB})"
 
-_WORDS = "(?:Vivid|Intense|Deep|Light|Dark|Yellow)"
-_TABLE_RE = (
-    rf"(?i)(GIA|IGI)?\s*(\d+(?:\.\d+)?)\s*Carat\s+(Fancy\s+{_WORDS}(?:\s+{_WORDS})*)\s+(\w+)[-–]\s*"
-    r"(FL|IF|VVS1|VVS2|VS1|VS2|SI1|SI2|I1|I2|I3)\s+(.+?)\s+(?:Cut\s+)?Diamond"
-)
-_LABEL_RE = (
-    rf"(?i)(\d+(?:\.\d+)?)\s*Carat\s+(Fancy\s+{_WORDS}(?:\s+{_WORDS})*)\s+(\w+(?:\s+\w+)?)\s+Diamond\s+"
-    r"(FL|IF|VVS1|VVS2|VS1|VS2|SI1|SI2|I1|I2|I3)\s+(GIA|IGI)?"
-)
+_TABLE_RE = f"(?i){titles.TABLE_TITLE}"
+_LABEL_RE = f"(?i){titles.LABEL_TITLE}"
 
 
 def _groups(text: str, pattern: str, names: list[str]) -> str:
@@ -191,17 +189,13 @@ true as is_natural, false as is_lab_grown, true as in_stock
 from ({_CARDS}) c join ({_DETAILS}) d using (source_url) where c.rn = 1 and d.rn = 1"""
 
 _BLANK = ["sku_or_stock", "fancy_color_modifier", "girdle", "culet", "measurements"]
-_TEXT_COLUMNS = """clarity cert_lab cert_number culet fancy_color_modifier fancy_color_primary fluorescence girdle
-intensity measurements polish shape sku_or_stock source_url symmetry vendor""".split()
-_ALL_COLUMNS = """vendor source_url sku_or_stock date_seen price_usd carat fancy_color_primary fancy_color_modifier
-intensity clarity shape polish symmetry fluorescence length_mm width_mm depth_mm table_pct depth_pct girdle culet
-l_w_ratio measurements cert_lab cert_number is_natural is_lab_grown in_stock""".split()
+_TEXT_COLUMNS = [f.name for f in LISTING_SCHEMA if isinstance(f.dataType, T.StringType)]
 _PARSED_FIELDS = "concat_ws(',', {})".format(
     ", ".join(
         "case when {} then '{}' end".format(
             (f"{c} <> ''" if c in _TEXT_COLUMNS else f"{c} is not null"), c
         )
-        for c in sorted(_ALL_COLUMNS)
+        for c in sorted(LISTING_COLUMNS)
     )
 )
 
@@ -272,16 +266,7 @@ _GRAM = " union all ".join(
     for b, y in list(_TERMS.items())[n:]
 )
 
-_CATS = ["intensity", "clarity", "shape", "polish", "symmetry", "fluorescence", "cert_lab"]
-_SPARSE = " + ".join(
-    f"({c} is null)::int"
-    for c in "polish symmetry fluorescence table_pct depth_pct length_mm width_mm depth_mm".split()
-)
-
-_MEASURES_OF_MODEL = ["length_mm", "width_mm", "depth_mm", "table_pct", "depth_pct", "l_w_ratio"]
-_EDGES = [0.0, 0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 8.0, 12.0, 20.0, 30.0]
-
-_REQUIRED = ["price_usd", "carat", "intensity", "clarity", "shape", "vendor", "source_url"]
+_SPARSE = " + ".join(f"({c} is null)::int" for c in features.SPARSE_FIELDS)
 
 _PAGE_TEXT = """regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')"""
 
@@ -300,7 +285,7 @@ ORACLES: dict[str, str] = {
     "dedupe_keep_incomplete": f"""{_N} select source_url, cast(date_seen as varchar) as date_seen, carat, length_mm from (select *, {_LATEST} as rn from (select *, {_KEYS} from n))
         where rn = 1 or (k0 is null and (carat is null or length_mm is null or width_mm is null or depth_mm is null))""",
     "quality_report": f"""{_N} select cast(count(*) as bigint) as row_count,
-        {", ".join(f"round(count({c}) / count(*), 6) as {c}" for c in _REQUIRED)},
+        {", ".join(f"round(count({c}) / count(*), 6) as {c}" for c in quality.REQUIRED)},
         round(count(case when price_usd is not null and carat is not null then 1 end) / count(*), 6) as joint_parse_rate,
         cast(count(*) - count(price_usd) as bigint) as missing_price_rows,
         cast(count(*) - count(carat) as bigint) as missing_carat_rows,
@@ -380,10 +365,10 @@ ORACLES: dict[str, str] = {
     "extraction_log": f"""{_R} select vendor, sku_or_stock as listing_key, source_url,
         coalesce(price_usd <> 0 and carat <> 0, false) as parse_ok, {_PARSED_FIELDS} as parsed_fields from ({_ASSEMBLED_TABLE})""",
     "model_features": f"""{_LOG_ROWS} select vendor, source_url, cast(date_seen as varchar) as date_seen,
-        {", ".join(f"coalesce({c}, '<MISSING>') as {c}" for c in _CATS)},
+        {", ".join(f"coalesce({c}, '<MISSING>') as {c}" for c in features.CATEGORICAL)},
         {"carat, length_mm, width_mm, depth_mm, table_pct, depth_pct, l_w_ratio"},
         carat * carat as carat_sq,
-        {", ".join(f"greatest(carat - {k}::double, 0) as carat_over_{str(k).replace('.', '_')}" for k in (1.0, 1.5, 2.0, 3.0, 4.0, 5.0))},
+        {", ".join(f"greatest(carat - {k}::double, 0) as carat_over_{str(k).replace('.', '_')}" for k in features.KNOTS)},
         round(log_price, 6) as log_price from t""",
     "model_row_counts": f"""with {_standard("p", _PRICED)} select cast(count(*) as bigint) as rows,
         cast(count(case when is_lab_grown then 1 end) as bigint) as lab_grown,
@@ -391,16 +376,16 @@ ORACLES: dict[str, str] = {
         cast(count(case when is_lab_grown is distinct from true and (price_usd <= 0 or carat <= 0) and price_usd is not null
         and carat is not null then 1 end) as bigint) as not_positive,
         cast(count(case when is_lab_grown is distinct from true and price_usd > 0 and carat > 0 then 1 end) as bigint) as usable from p""",
-    "feature_contract": f"""{_LOG_ROWS}, l as ({" union ".join(f"select '{c}=' || coalesce({c}, '<MISSING>') as feature from t" for c in _CATS)})
+    "feature_contract": f"""{_LOG_ROWS}, l as ({" union ".join(f"select '{c}=' || coalesce({c}, '<MISSING>') as feature from t" for c in features.CATEGORICAL)})
         select feature, false as monotone from l union all select 'intercept', false union all
-        select unnest([{", ".join(f"'{m}', '{m}_missing'" for m in _MEASURES_OF_MODEL)}]), false union all
-        select unnest([{", ".join(f"'carat_ramp_{a}_{b}'" for a, b in zip(_EDGES, _EDGES[1:]))}, 'carat_ln']), true""",
-    "encoded_levels": f"""{_LOG_ROWS}, l as ({" union all ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from t" for c in _CATS)}),
+        select unnest([{", ".join(f"'{m}', '{m}_missing'" for m in model.MEASURES)}]), false union all
+        select unnest([{", ".join(f"'carat_ramp_{a}_{b}'" for a, b in zip(model.RAMP_EDGES, model.RAMP_EDGES[1:]))}, 'carat_ln']), true""",
+    "encoded_levels": f"""{_LOG_ROWS}, l as ({" union all ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from t" for c in features.CATEGORICAL)}),
         c as (select feature, level, cast(count(*) as bigint) as rows from l group by all)
         select feature, level, rows, cast(row_number() over (partition by feature order by level) as bigint) as code from c""",
     "category_levels": _N
     + " "
-    + " union ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from n" for c in _CATS),
+    + " union ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from n" for c in features.CATEGORICAL),
     "vendor_folds": f"""{_LOG_ROWS} select vendor, cast(row_number() over (order by count(*) desc, vendor) - 1 as bigint) as fold
         from t group by vendor""",
     "group_count": f"{_LOG_ROWS} select cast(count(distinct coalesce(vendor, 'Unknown')) as bigint) as n_groups from t",
@@ -431,6 +416,8 @@ ORACLES: dict[str, str] = {
     "json_scan": f"{_N} select {_CANON} from n",
     "history_roundtrip": f"{_H} {_GROWTH}",
     "history_stream": f"{_H} {_GROWTH}",
+    "history_rerun_empty": f"{_H} select run_id, count(*) as rows from h where run_id <> '{RERUN}' group by run_id",
+    "history_batch_then_stream": f"{_H} select run_id, count(*) as rows from h group by run_id",
     "merge_clean": f"""{_N} select cast(count(*) as bigint) as row_count,
         round(count(case when price_usd is not null and carat is not null then 1 end) / count(*), 6) as joint_parse_rate,
         round(count(carat) / count(*), 6) as carat from (select *, {_LATEST} as rn from (select *, {_KEYS} from n)) where rn = 1""",

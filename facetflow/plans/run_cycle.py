@@ -58,7 +58,7 @@ def run(
     The batch is read back from its own history partition, so the feeds are
     parsed once. Returns the one-row summary as written.
     """
-    writers.append_history(writers.stamp(batch, run_id, scraped_at), history_path)
+    writers.append_history(writers.stamp(batch, run_id, scraped_at), history_path, run_id)
     history = readers.read_history(spark, history_path)
     this_run = history.where(F.col("run_id") == run_id)
 

@@ -42,18 +42,18 @@ def read_table(spark: SparkSession, path: str, multiline: bool = False) -> DataF
     raise ValueError(f"unsupported format: {path}")
 
 
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
+def _try_read(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame | None:
     try:
-        return read_table(spark, path)
+        return read_table(spark, path, multiline)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def read_present(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_present(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
     """Union of the standardised inputs that exist; an error if none does."""
-    frames = [f for f in (_try_read(spark, p) for p in paths) if f is not None]
+    frames = [f for f in (_try_read(spark, p, multiline) for p in paths) if f is not None]
     if not frames:
         raise SourceMissing(f"none of the inputs exists: {', '.join(paths)}")
     return union_by_name([normalize(f) for f in frames])
@@ -79,10 +79,10 @@ def feed_folder(token: str) -> str:
     return token.replace(":", "_")
 
 
-def read_import(spark: SparkSession, alias: str, folder: str) -> DataFrame:
+def read_import(spark: SparkSession, alias: str, folder: str, multiline: bool = False) -> DataFrame:
     """``<folder>/<alias>.csv`` with the vendor filled from the alias."""
     path = f"{folder}/{alias}.csv"
-    feed = _try_read(spark, path)
+    feed = _try_read(spark, path, multiline)
     if feed is None:
         raise SourceMissing(f"import feed not found: {path}")
     if feed.isEmpty():
@@ -102,21 +102,22 @@ class Skipped:
 
 
 def read_run(
-    spark: SparkSession, feeds: dict[str, str]
+    spark: SparkSession, feeds: dict[str, str], multiline: bool = False
 ) -> tuple[DataFrame | None, list[Skipped]]:
     """All feeds of a run with a ``feed`` column, and those that gave nothing.
 
-    ``feeds`` maps a feed name to its path. Unreadable and empty feeds do not
-    stop the run; they are reported.
+    ``feeds`` maps a feed name to its path. Feeds that are absent, empty, of an
+    unknown format or without a readable schema do not stop the run; they are
+    reported. Anything else, such as a store that can't be reached, does.
     """
     frames, skipped = [], []
     for feed, path in feeds.items():
         try:
-            frame = read_table(spark, path)
+            frame = read_table(spark, path, multiline)
             if frame.isEmpty():
                 skipped.append(Skipped(feed, "empty"))
                 continue
-        except Exception as error:  # any unreadable feed is reported, not fatal
+        except (AnalysisException, ValueError) as error:
             skipped.append(Skipped(feed, type(error).__name__))
             continue
         frames.append(normalize(frame).withColumn("feed", F.lit(feed)))

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from facetflow.functions.keys import listing_key
 from facetflow.schema import HISTORY_SCHEMA, LISTING_COLUMNS
+from facetflow.sources.readers import feed_folder
+
+# The batch id of runs that are written whole; streamed batches count from 0.
+WHOLE_RUN = -1
 
 # Columns of the anomaly report.
 ANOMALY_COLUMNS = [
@@ -38,18 +42,26 @@ def stamp(batch: DataFrame, run_id: str, scraped_at) -> DataFrame:
     ).select(*HISTORY_SCHEMA.fieldNames())
 
 
-def append_history(batch: DataFrame, path: str) -> None:
+def append_history(batch: DataFrame, path: str, run_id: str | None = None) -> None:
     """Write the run partitions of a stamped batch; a repeated run replaces itself.
 
-    Only the partitions in the batch are written, earlier runs are not touched.
+    With ``run_id`` everything the history has of that run goes first, so a
+    repeated run may also come back empty. Without it the runs in the batch are
+    written, and others are not touched. The layout is that of streamed batches.
     """
-    writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_id").parquet(path)
+    rows = batch.withColumn("batch_id", F.lit(WHOLE_RUN))
+    if run_id is None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id", "batch_id").parquet(path)
+        return
+    own = rows.where(F.col("run_id") == run_id).drop("run_id")
+    writer = own.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("batch_id").parquet(f"{path}/run_id={run_id}")
 
 
 def write_batch(listings: DataFrame, raw_path: str, feed: str) -> None:
-    """One feed of a run: the canonical columns under ``feed=<name>``."""
-    listings.select(*LISTING_COLUMNS).write.mode("overwrite").parquet(f"{raw_path}/feed={feed}")
+    """One feed of a run: the canonical columns under ``feed=<folder of the name>``."""
+    listings.select(*LISTING_COLUMNS).write.mode("overwrite").parquet(f"{raw_path}/feed={feed_folder(feed)}")
 
 
 def write_clean(listings: DataFrame, path: str, csv_path: str | None = None) -> None:

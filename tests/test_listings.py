@@ -198,17 +198,20 @@ def test_large_drop_is_flagged(spark):
     assert got["flat"]["z_score"] is None and got["flat"]["is_mispriced"] is False
 
 
-def test_mispriced_needs_one_shuffle_without_hot_listings(spark):
-    df = anomaly.detect_mispriced(spark.createDataFrame(price_rows("a", range(1, 8)), PRICES), ordered=False)
-    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+def test_mispriced_runs_nothing_before_an_action(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    anomaly.detect_mispriced(spark.createDataFrame(price_rows("a", range(1, 8)), PRICES))
+    assert not tracker.getJobIdsForGroup("planning")
 
 
 def test_hot_listings_give_the_same_result(spark):
     rows = [r for k, n in (("hot", 300), ("cool", 20), ("few", 6)) for r in price_rows(k, [((i * 37) % 101) / 7 for i in range(n)])]
     rows = [(k, p, f"2026-01-01T00:{i // 60:02d}:{i % 60:02d}Z", v, u) for i, (k, p, _, v, u) in enumerate(rows)]
     df = spark.createDataFrame(rows, PRICES)
-    plain = sorted(map(str, anomaly.detect_mispriced(df).collect()))
-    hot = sorted(map(str, anomaly.detect_mispriced(df, hot_rows=50).select(anomaly.detect_mispriced(df).columns).collect()))
+    exact = ["listing_key", "price_usd", "count", "median", "drop_pct_vs_median"]  # deviations add up in any order
+    plain = sorted(map(str, anomaly.detect_mispriced(df).select(exact).collect()))
+    hot = sorted(map(str, anomaly.detect_mispriced(df.repartition(7)).select(exact).collect()))
     assert plain == hot
 
 
@@ -260,3 +263,24 @@ def test_header_only_feed_flows_through(spark):
     assert dedupe.dedupe(empty).count() == 0
     assert quality.summarize_batch(empty).first()["rows"] == 0
     assert quality.quality_report(empty).first()["row_count"] == 0
+
+
+def test_an_emptied_run_and_other_writers_of_a_history(spark, tmp_path):
+    path = str(tmp_path / "history")
+    batch = listings(spark, ROWS)
+    for run in (RUN1, RUN2):
+        writers.append_history(writers.stamp(batch, run, "2026-01-01 00:00:00"), path, run)
+    writers.append_history(writers.stamp(batch.where("false"), RUN1, "2026-01-01 00:00:00"), path, RUN1)
+    assert readers.read_history(spark, path).groupBy("run_id").count().collect() == [(RUN2, 8)]
+
+
+def test_only_faults_of_a_feed_are_passed_over(spark, tmp_path, monkeypatch):
+    (tmp_path / "q.csv").write_text('source_url,price_usd,carat\nu1,1,"a\nb"\nu2,2,1.0\n')
+    assert readers.read_import(spark, "q", str(tmp_path), multiline=True).count() == 2
+
+    def lost(*_):
+        raise OSError("store not reached")
+
+    monkeypatch.setattr(readers, "read_table", lost)
+    with pytest.raises(OSError):
+        readers.read_run(spark, {"a": "a.csv"})

@@ -1,3 +1,4 @@
+import math
 import statistics
 
 import numpy as np
@@ -30,18 +31,19 @@ def values(spark):
     return data, spark.createDataFrame(data, "k string, f string, x double").repartition(5)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-def test_quantiles_are_exact_at_any_size(spark, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4096])
+def test_quantiles_are_exact_at_any_size(spark, monkeypatch, slices):
+    monkeypatch.setattr(quantiles, "SLICES", slices)
     data, df = values(spark)
-    got = quantiles.exact_quantiles(df, ["k"], "x", [0.5, 0.9], ["m", "p"], "f", hot_rows, finish_rows=20, slices=16)
+    got = quantiles.exact_quantiles(df, ["k"], "x", [0.5, 0.9], ["m", "p"], "f")
     got = {(r["k"], r["f"]): (r["m"], r["p"]) for r in got.collect()}
     assert len(got) == 9
     for (k, f), (m, p) in got.items():
         rest = [x for kk, ff, x in data if kk == k and ff != f]
         assert m == pytest.approx(np.percentile(rest, 50)) and p == pytest.approx(np.percentile(rest, 90))
-    whole = quantiles.exact_quantiles(df, [], "x", [0.75], ["q"], hot_rows=hot_rows, finish_rows=20).first()["q"]
+    whole = quantiles.exact_quantiles(df, [], "x", [0.75], ["q"]).first()["q"]
     assert whole == pytest.approx(np.percentile([x for _, _, x in data], 75))
-    grouped = quantiles.group_quantiles(df, ["k"], "x", 0.5, hot_rows=min(hot_rows, 400)).collect()
+    grouped = quantiles.group_quantiles(df, ["k"], "x", 0.5).collect()
     assert {r["k"]: r["quantile"] for r in grouped} == pytest.approx(
         {k: statistics.median([x for kk, _, x in data if kk == k]) for k in ("a", "b", None)}
     )
@@ -50,10 +52,16 @@ def test_quantiles_are_exact_at_any_size(spark, hot_rows):
 def test_quantiles_of_nothing_and_of_one_value(spark):
     df = spark.createDataFrame([("a", 1.0)] * 40, "k string, x double")
     assert quantiles.exact_quantiles(df.where("false"), ["k"], "x", [0.5], ["m"]).count() == 0
-    assert quantiles.exact_quantiles(df, ["k"], "x", [0.5], ["m"], hot_rows=1, finish_rows=1).first()["m"] == 1.0
+    assert quantiles.exact_quantiles(df, ["k"], "x", [0.5], ["m"]).first()["m"] == 1.0
     alone = df.withColumn("f", F.lit("u"))
-    for hot_rows in (1, 10**6):
-        assert quantiles.exact_quantiles(alone, ["k"], "x", [0.5], ["m"], "f", hot_rows).count() == 0
+    assert quantiles.exact_quantiles(alone, ["k"], "x", [0.5], ["m"], "f").count() == 0
+
+
+def test_quantiles_of_infinite_and_signed_values(spark):
+    data = [-math.inf, -3.5, -0.0, 0.0, 5e-324, 1.0, 1.7e308, math.inf, math.inf, math.inf]
+    df = spark.createDataFrame([(x,) for x in [*data, None, math.nan]], "x double").repartition(3)
+    for k in range(len(data)):
+        assert quantiles.global_quantiles(df, "x", [k / (len(data) - 1)], ["q"]).first()["q"] == data[k]
 
 
 def test_feature_expressions(spark):
