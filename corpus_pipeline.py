@@ -15,8 +15,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that an earlier document or line has; ``n_chars`` follows the text."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """Every document, without lines that an earlier document or line has, short ones too; ``n_chars`` follows the text."""
+    cleaned = line_dedup.dedup_lines(docs, fold_chars=1)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long"))
 
 

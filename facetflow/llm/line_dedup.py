@@ -150,23 +150,25 @@ def line_links(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def removed_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, fold_chars: int | None = None
 ) -> DataFrame:
     """Lines to remove: ``id, t, n`` (document and line number from 0), ``links`` and ``keeper``.
 
     ``keeper`` (id, t, n) is the earliest equal or linked line, in the order of
     id, text hash and line number; ``links`` counts the different lines within the
-    distance. Lines shorter than ``least_chars`` are left alone.
+    distance. Lines shorter than ``least_chars`` are not linked; those that have
+    ``fold_chars`` (by default as many) or more still go when an earlier line equals them.
     """
-    lines = _distinct(docs, id_col, text_col, least_chars)
-    links = line_links(lines, edits)
+    fold_chars = least_chars if fold_chars is None else min(fold_chars, least_chars)
+    lines = _distinct(docs, id_col, text_col, fold_chars)
+    links = line_links(lines.where(F.char_length("line") >= least_chars) if fold_chars < least_chars else lines, edits)
     both = links.select("a1", "a2", "b1", "b2").union(links.select("b1", "b2", "a1", "a2"))
     firsts = lines.select("h1", "h2", "first", "n")
     near = both.join(firsts.where("n > 0").select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other")), ["b1", "b2"])
     near = near.groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"), F.count("*").alias("links"))
     kept = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or links is not null")
     kept = kept.select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("keeper"), F.coalesce("links", F.lit(0)).alias("links"))
-    places = _lines(docs, id_col, text_col).where(F.char_length("line") >= least_chars).select("at", "h1", "h2")
+    places = _lines(docs, id_col, text_col).where(F.char_length("line") >= fold_chars).select("at", "h1", "h2")
     out = places.join(kept, ["h1", "h2"]).where(F.col("keeper") < F.col("at"))
     return out.select("at.id", "at.t", "at.n", "links", "keeper")
 
@@ -177,7 +179,7 @@ def by_document(removed: DataFrame) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, fold_chars: int | None = None
 ) -> DataFrame:
     """``docs`` with removed lines taken out of the text (all columns kept, every row kept).
 
@@ -186,7 +188,7 @@ def dedup_lines(
     stays null, an empty one empty; a text may become empty. Lines end at a line
     feed. Other columns may have any names. Empty input gives no rows.
     """
-    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars))
+    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars, fold_chars))
     gone = gone.select(F.struct("id", "t").alias("_key"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t")).alias("_own"))
     joined = rows.join(gone, F.col("_own").eqNullSafe(F.col("_key")), "left")
@@ -196,10 +198,10 @@ def dedup_lines(
 
 
 def report(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, fold_chars: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: lines, lines removed, their numbers, and the most links of one of them."""
-    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars))
+    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars, fold_chars))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_t"), F.size(F.split(text, "\n")).cast("long").alias("n_lines"))
     joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")), "left")

@@ -87,6 +87,20 @@ def test_documents(spark):
         assert cleaned[i].text == (t if not out else "\n".join(x for n, x in enumerate(lines) if n not in out))
 
 
+def test_short_copies_are_folded_and_not_linked(spark):
+    a = prose(80, 12)
+    rows = [(1, f"menu\n{a}\n\nmenu"), (2, f"home\n{a}x\nmenu\n\nmenus"), (3, "x\nhome"), (4, "x\ny\n")]
+    docs = documents(spark, rows)
+    got = {r.doc_id: r.removed_lines for r in line_dedup.report(docs, fold_chars=1).collect()}
+    assert got == {1: "3", 2: "1,2", 3: "1", 4: "0"}
+    cleaned = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, fold_chars=1).collect()}
+    assert cleaned == {1: f"menu\n{a}\n", 2: "home\n\nmenus", 3: "x", 4: "y\n"}
+    import corpus_pipeline
+
+    staged = corpus_pipeline.without_repeated_lines(spark, docs, "")
+    assert {r.doc_id: r.text for r in staged.collect()} == cleaned
+
+
 def test_repeated_rows_are_treated_alike(spark):
     rows = [(7, prose(3, 120)), (7, prose(3, 120)), (9, prose(3, 120)), (9, prose(3, 120))]
     got = sorted((r.doc_id, r.n_removed) for r in line_dedup.report(documents(spark, rows)).collect())
