@@ -502,11 +502,9 @@ def _fitted(rows: DataFrame) -> model.Model:
 
 
 def two_stage_model(spark, sf_dir):
-    """Mean absolute error of the linear model and with a few trees on top."""
-    rows = training_rows(spark, sf_dir)
-    fitted = _fitted(rows)
-    trees = residual_trees.fit_residual_trees(rows, fitted, iterations=5, depth=4, rate=0.3)
-    both = residual_trees.predict_in_two_stages(rows, fitted, trees)
+    """Mean absolute out-of-fold error of the linear model and with trees on top."""
+    checked = train.validate(training_rows(spark, sf_dir), tie=TIE)
+    both = residual_trees.out_of_fold_in_two_stages(checked.rows, checked.sums, checked.folds)
     return both.groupBy("vendor").agg(
         baseline.mean_absolute("linear_log_price").alias("linear_mae_log"),
         baseline.mean_absolute("predicted_log_price").alias("two_stage_mae_log"),
@@ -519,10 +517,10 @@ def model_contract(spark, sf_dir):
 
 
 def scored(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    fitted = _fitted(rows)
-    errors = rows.select(F.abs(F.col("log_price") - fitted.predict()).alias("abs_error"))
-    bands = policy.error_bands(errors).first()
+    """Prices with bands from out-of-fold errors."""
+    checked = train.validate(training_rows(spark, sf_dir), tie=TIE)
+    fitted = model.fit(checked.sums.total, checked.design)
+    bands = policy.error_bands(checked.errors(fitted)).first()
     listings = normalize.normalize(sampledata.priced_listings(spark, sf_dir))
     wanted = ["missing_count", "reject", "predicted_price", "price_low", "price_high"]
     return policy.score(listings, fitted, policy.Policy(bands["p75"], bands["p90"])).select(

@@ -53,6 +53,12 @@ class Validation:
         """Out-of-fold predictions, written once: several quantile passes read them."""
         return write_out(validation.out_of_fold(self.rows, self.sums, self.folds), "residuals")
 
+    def errors(self, fitted: model.Model) -> DataFrame:
+        """The errors that bands are taken from; with one vendor, those of ``fitted`` itself."""
+        if self.n_groups < 2:
+            return self.rows.select(F.abs(F.col("log_price") - fitted.predict()).alias("abs_error"))
+        return self.residuals
+
     @cached_property
     def per_fold(self) -> DataFrame:
         return validation.fold_metrics(self.residuals)
@@ -111,10 +117,7 @@ def train(
             means["cv_mae_log_mean"], means["baseline_cv_mae_log_mean"], min_improvement
         )
     fitted = model.fit(checked.sums.total, checked.design)
-    errors = checked.residuals
-    if means["status"] != "ok":
-        errors = checked.rows.select(F.abs(F.col("log_price") - fitted.predict()).alias("abs_error"))
-    rules, report = policy.uncertainty_policy(checked.rows, errors)
+    rules, report = policy.uncertainty_policy(checked.rows, checked.errors(fitted))
     return Trained(
         fitted,
         rules,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from facetflow import catalog
 from facetflow.functions import features
-from facetflow.operators import baseline, model, policy, quantiles, splits, validation
+from facetflow.operators import baseline, model, policy, quantiles, residual_trees, splits, validation
 from facetflow.plans import train
 
 
@@ -197,6 +197,29 @@ def test_policy_and_scoring(spark, rows, checked):
     assert kept["price_low"] < kept["predicted_price"] < kept["price_high"]
 
 
+def test_bands_of_scored_prices_are_out_of_fold(spark, rows, checked, sf_dir):
+    out = catalog.scored(spark, sf_dir).where("not reject and predicted_price is not null").first()
+    errors = [r[0] for r in checked.residuals.select("abs_error").collect()]
+    assert math.log(out["price_high"] / out["predicted_price"]) == pytest.approx(np.percentile(errors, 90))
+
+
+def test_two_stage_errors_are_out_of_fold_with_the_default_trees(spark, checked, sf_dir, monkeypatch):
+    fit, calls = residual_trees.fit_residual_trees, []
+
+    def short(rows, fitted, **given):
+        calls.append(({r[0] for r in rows.select("vendor").distinct().collect()}, given))
+        return fit(rows, fitted, iterations=1)
+
+    monkeypatch.setattr(residual_trees, "fit_residual_trees", short)
+    got = {r["vendor"]: r["linear_mae_log"] for r in catalog.two_stage_model(spark, sf_dir).collect()}
+    want = checked.residuals.groupBy("vendor").agg(F.avg("abs_error")).collect()
+    assert got == pytest.approx(dict(map(tuple, want)))
+    folds = {}
+    for vendor, fold in checked.folds.collect():
+        folds.setdefault(fold, set()).add(vendor)
+    assert [(v, g) for v, g in calls] == [(set(got) - folds[k], {}) for k in sorted(folds)]
+
+
 def test_model_table_round_trip(spark, rows, checked, tmp_path):
     fitted = model.fit(checked.sums.total, checked.design)
     path = str(tmp_path / "model")
