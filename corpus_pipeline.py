@@ -21,15 +21,16 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group.
+    """One row, that of the smallest id, of each group; a row without an id only where all are.
 
-    Rows that share an id are one document; rows without an id are one per text.
+    A row is a pair of id and text; rows that repeat both are one.
     """
-    groups = simhash.near_duplicates(docs, shingle=3, radius=3)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    one = kept.withColumn("_text", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).dropDuplicates(["doc_id", "_text"])
-    return one.select(*docs.columns)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("digest"))
+    keyed = docs.withColumn("_row", row)
+    groups = simhash.near_duplicates(keyed, id_col="_row", shingle=3, radius=3)
+    first = groups.where("_row = component_id").select(F.col("_row").alias("_kept")).distinct()
+    kept = keyed.join(first, F.col("_row").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,6 +86,15 @@ def test_each_stage_does_its_work_on_all_that_is_left(spark, folder, tmp_path):
     assert packed == tokens
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    a, b, c, d = (prose(950 + k, 80) for k in range(4))
+    rows = [(1, a), (1, b), (2, a.upper()), (None, c), (None, c.upper()), (None, c), (None, d), (3, d.upper()), (3, d.upper())]
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    out = corpus_pipeline.without_near_duplicates(spark, docs, "")
+    got = sorted(((r.doc_id, r.text if r.doc_id else r.text.lower()) for r in out.collect()), key=str)
+    assert out.columns == docs.columns and got == sorted([(1, a), (1, b), (None, c), (3, d.upper())], key=str)
+
+
 def test_the_stage_names_and_the_registered_query():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "SimHash near-dedup", "benchmark decontamination", "packing"]
     import __spark_entry__
