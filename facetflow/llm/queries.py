@@ -15,6 +15,7 @@ from facetflow.llm import (
     quality,
     resharding,
     simhash,
+    spelling,
     warc,
 )
 from facetflow.llm.oracles import ORACLES
@@ -110,6 +111,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_warc": op2_warc,
@@ -121,4 +126,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_resharding": op9_resharding,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling": op11_spelling,
 }
