@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from facetflow.llm import (
     chat,
+    dac,
     decontamination,
     license_scan,
     line_dedup,
@@ -115,6 +116,12 @@ def op11_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_dac(spark, sf_dir):
+    path = scratch_path(spark, "ids")
+    dac.write_ids(_table(spark, sf_dir, "documents"), tokenizer_path(), path)
+    return dac.read_documents(spark, path, with_ids=False)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_warc": op2_warc,
@@ -127,4 +134,5 @@ QUERIES = {
     "op9_resharding": op9_resharding,
     "op10_line_dedup": op10_line_dedup,
     "op11_spelling": op11_spelling,
+    "op12_dac": op12_dac,
 }
