@@ -11,9 +11,6 @@ into ever smaller powers of two.
 from __future__ import annotations
 
 import bisect
-import functools
-import re
-from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,62 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TIERS = (512, 1024, 2048, 4096)
-#: Word parts a worker remembers; only speed depends on it.
-REMEMBERED = 1_000_000
-#: The pre-tokenizer's pattern for texts of the characters below (fixed value of the vocabulary file).
-_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ɏ0-9²³¹¼½¾]+"
-#: Texts whose lower case and normal form are plain: Latin letters without the dotted capital I.
-_PLAIN = r"[\t\n\r -~¡-įı-ɏ]*"
-
-
-class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, each word part encoded once.
+from facetflow.llm.encoding import word_encoder
 
-    Right for vocabularies that drop white space, never join across parts and
-    mark the last id of each part: the ids of a text are then those of its
-    parts one after the other. Texts with other characters or with marks of
-    special ids are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts, self.plain = re.compile(_PARTS), re.compile(_PLAIN)
-        self.last = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _new(self, parts: list[str]) -> dict[str, bytes]:
-        ids, at, start = self._encode(" ".join(parts)), 0, 0
-        out = {}
-        for end, i in enumerate(ids, 1):
-            if i in self.last:
-                out[parts[at]] = array("I", ids[start:end]).tobytes()
-                at, start = at + 1, end
-        return out
-
-    def __call__(self, text: str) -> bytes:
-        if "<|" in text or not self.plain.fullmatch(text):
-            return array("I", self._encode(text)).tobytes()
-        parts = self.parts.findall(text.lower())
-        missing = set(parts).difference(self.known)
-        if not missing:
-            return b"".join(map(self.known.__getitem__, parts))
-        new = self._new(list(missing))
-        if len(self.known) + len(new) <= REMEMBERED:
-            self.known |= new
-            return b"".join(map(self.known.__getitem__, parts))
-        return b"".join([new[p] if p in new else self.known[p] for p in parts])
-
-
-@functools.lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
-    """The worker's encoder; it lasts from task to task."""
-    return WordEncoder(path)
+TIERS = (512, 1024, 2048, 4096)
 
 
 class _Pool:
@@ -222,6 +166,7 @@ def pack(
                     yield from block(False)
         if kinds:
             yield from block(True)
+        encode.forget()
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
     return out.withColumnRenamed("id", id_col)

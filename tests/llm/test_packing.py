@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from facetflow.llm import packing
+from facetflow.llm import encoding, packing
 
 from .cases import documents, empty, texts
 
@@ -22,13 +23,37 @@ def tokenizer():
     ["", " \n", "a'SB 'S İx", "H̱ é", "a\x1cb \xa0c\x85d²³", "<|endoftext|> b<|ENDOFTEXT|>", "ΑΣ x", "x'll'd''s", "Ǆ ǅ ŉ ß ſ", "###$$$ a12b", "中文 mixed Ünï"],
 )
 def test_words_are_encoded_like_the_whole_text(tokenizer, text):
-    got = np.frombuffer(packing.WordEncoder(PATH)(text), "<u4").tolist()
+    got = np.frombuffer(encoding.WordEncoder(PATH)(text), "<u4").tolist()
     assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_of_the_short_way(tokenizer):
+    encode = encoding.WordEncoder(PATH)
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f"A{c}'s", c + c, f"1{c}2", f"!{c}?", f"'{c}", f" {c} ", f"Ɗ{c}"):
+            assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_random_texts_of_latin_letters(tokenizer):
+    encode, r = encoding.WordEncoder(PATH), random.Random(5)
+    for k in range(5000):
+        top = 0x250 if k % 2 else 0x180
+        text = "".join(chr(r.randrange(0x20, top)) for _ in range(r.randint(1, 14)))
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_scripts_are_packed(spark, tokenizer):
+    rows = [(1, "Ɗan ƙasa"), (2, "®ǮƷ¥ťȁďźȕ¯ưĒ"), (3, "ΑΣ Ж ǅ")]
+    pieces = {}
+    for r in sorted(packing.pack(documents(spark, rows), PATH).collect(), key=lambda r: r.start):
+        pieces[r.doc_id] = pieces.get(r.doc_id, b"") + bytes(r.ids)
+    for i, text in rows:
+        assert np.frombuffer(pieces[i], "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_a_full_memory_changes_nothing(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
-    encode = packing.WordEncoder(PATH)
+    monkeypatch.setattr(encoding, "GENERATION", 3)
+    encode = encoding.WordEncoder(PATH)
     for text in ("one two three four five two", "six one six seven"):
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
