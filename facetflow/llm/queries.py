@@ -14,6 +14,7 @@ from facetflow.llm import (
     neighbours,
     packing,
     quality,
+    repair,
     resharding,
     simhash,
     spelling,
@@ -122,6 +123,11 @@ def op12_dac(spark, sf_dir):
     return dac.read_documents(spark, path, with_ids=False)
 
 
+def op13_repair(spark, sf_dir):
+    damaged = repair.damage(_table(spark, sf_dir, "conversations"))
+    return repair.repair(damaged).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_warc": op2_warc,
@@ -135,4 +141,5 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_spelling": op11_spelling,
     "op12_dac": op12_dac,
+    "op13_repair": op13_repair,
 }
