@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from facetflow.llm import chat, license_scan, line_dedup
+from facetflow.llm import chat, license_scan, line_dedup, spelling
 
 
 def _text(value: str) -> str:
@@ -146,10 +146,60 @@ select doc_id, cast(len(string_split(coalesce(text, ''), chr(10))) as bigint) as
 from documents left join gone using (doc_id)
 """
 
+OP11 = f"""
+with recursive table256 as (
+  select list(list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as t
+  from range(256) as r(i)
+),
+runs as (
+  select coalesce(cast(doc_id as varchar), '') as id,
+    unnest(regexp_extract_all(text, '[{spelling.LETTERS}]+')) as run
+  from documents
+),
+lowered as (
+  select id, translate(run, '{string.ascii_uppercase}', '{string.ascii_lowercase}') as run, count(*) as copies
+  from runs where length(run) >= {spelling.LEAST_CHARS} group by all
+),
+summed as (
+  select run, copies, xor(list_reduce(
+    flatten(list_transform(string_split(id || ':' || run, ''),
+      lambda x: case when ord(x) < 128 then [ord(x)] else [192 + (ord(x) >> 6), 128 + (ord(x) & 63)] end)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) as h
+  from lowered, table256
+),
+damaged as (
+  select case when h % {spelling.DAMAGE} = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, copies from summed
+),
+words as (select word, cast(sum(copies) as bigint) as n from damaged where length(word) >= {spelling.LEAST_CHARS} group by word having sum(copies) >= {spelling.LEAST_COPIES}),
+cut as (
+  select word, n, k, left(word, k - 1) || substr(word, k + 1) as rest from words, unnest(range(1, length(word) + 1)) as r(k)
+),
+pairs as (
+  select a.word as word, b.word as other from cut a join words b on a.rest = b.word
+  union select b.word, a.word from cut a join words b on a.rest = b.word
+  union select a.word, b.word from cut a join cut b on a.k = b.k and a.rest = b.rest and a.word <> b.word
+),
+met as (
+  select p.word, count(*) as n_near, max(w.n) as top, arg_min(w.word, {{'n': -w.n, 'word': w.word}}) as best
+  from pairs p join words w on w.word = p.other group by p.word
+),
+formed as (
+  select word, n, coalesce(n_near, 0) as n_near, case when top >= {spelling.RATIO} * n then best end as form, case when top >= {spelling.RATIO} * n then top end as form_n
+  from words left join met using (word)
+),
+chain as (
+  select word, word as root, form as next from formed
+  union all select chain.word, chain.next, formed.form from chain join formed on formed.word = chain.next
+),
+roots as (select word, root from chain where next is null)
+select word, form, root, n, n_near, form_n from formed join roots using (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": OP1,
     "op2_warc": OP2,
     "op4_chat": OP4,
     "op5_neighbours": OP5,
     "op10_line_dedup": OP10,
+    "op11_spelling": OP11,
 }
