@@ -216,7 +216,6 @@ def write_ids(
                     keys, texts, held = [], [], 0
         if keys:
             yield segment()
-        encode.forget()
 
     ordered.select("id", "text").mapInArrow(run, schema).write.parquet(f"{path}/segments")
     spark = docs.sparkSession

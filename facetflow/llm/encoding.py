@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import functools
+import os
 import re
 from array import array
 
 #: Word parts of one generation a worker remembers, and the longest of them.
-GENERATION, LONGEST = 1 << 16, 48
+GENERATION, LONGEST = 1 << 18, 48
 #: The pre-tokenizer's pattern for texts of the characters below (fixed value of the vocabulary file).
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ſ0-9²³¹¼½¾]+"
 #: Texts whose lower case and normal form are plain: letters up to U+017F whose lower case is no further, so without the dotted capital I.
@@ -26,23 +27,24 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts, self.plain = re.compile(_PARTS), re.compile(_PLAIN)
         self.last = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
-        self.forget()
-
-    def forget(self) -> None:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self._ids(text)).tobytes()
 
     def _new(self, parts: list[str]) -> dict[str, bytes] | None:
         """Ids by part, if the tokenizer sees the same parts."""
-        ids = self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids
+        ids = self._ids(" ".join(parts))
         ends = [k for k, i in enumerate(ids, 1) if i in self.last]
         if len(ends) != len(parts) or (ends and ends[-1] != len(ids)):
             return None
@@ -59,27 +61,21 @@ class WordEncoder:
         if "<|" in text or not self.plain.fullmatch(text):
             return self._whole(text)
         parts = self.parts.findall(text.lower())
-        known, old, missing = {}, {}, []
-        for part in set(parts):
-            ids = self.young.get(part)
-            if ids is None:
-                ids = self.old.get(part)
-                if ids is None:
-                    missing.append(part)
-                    continue
-                old[part] = ids
-            known[part] = ids
-        if missing:
+        ids = list(map(self.young.get, parts))
+        if None not in ids:
+            return b"".join(ids)
+        unseen = {part for part, known in zip(parts, ids) if known is None}
+        found = {part: self.old[part] for part in unseen if part in self.old}
+        if missing := list(unseen.difference(found)):
             new = self._new(missing)
             if new is None:
                 return self._whole(text)
-            known |= new
-            old |= new
-        self._remember(old)
-        return b"".join(map(known.__getitem__, parts))
+            found |= new
+        self._remember(found)
+        return b"".join([found[part] if known is None else known for part, known in zip(parts, ids)])
 
 
 @functools.lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
-    """The worker's encoder; the tokenizer lasts from task to task, what it remembers goes with ``forget``."""
+    """The worker's encoder; it lasts from task to task."""
     return WordEncoder(path)

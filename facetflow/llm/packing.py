@@ -166,7 +166,6 @@ def pack(
                     yield from block(False)
         if kinds:
             yield from block(True)
-        encode.forget()
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
     return out.withColumnRenamed("id", id_col)
