@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,6 @@ from facetflow.operators import (
     pages,
     policy,
     quality,
-    residual_trees,
     runs,
     specs,
     splits,
@@ -33,6 +33,8 @@ from facetflow.session import write_out
 from facetflow.sources import readers, registry, writers
 from facetflow.streaming import ingest
 
+#: Added before rounding sums of multiples of an eighth, so that halves go one way in any engine.
+NUDGE = 0.000003
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-02-01"
 TIE = ["source_url"]
@@ -222,6 +224,18 @@ def price_stats(spark, sf_dir):
     return _plain(anomaly.price_stats(sampledata.history(spark, sf_dir)))
 
 
+def mispriced_ranking(spark, sf_dir):
+    """The head of the anomaly report, in its order."""
+    return _plain(anomaly.ranked(anomaly.detect_mispriced(sampledata.history(spark, sf_dir)), 100).select("rank", "listing_key"))
+
+
+def training_gates(spark, sf_dir):
+    """The gates before and after validation, on the listings' quality and the stored models."""
+    report = quality.quality_report(normalize.normalize(sampledata.priced_listings(spark, sf_dir)))
+    cv = _revalidated(spark, sf_dir).cv
+    return _plain(gates.training_quality(report).unionByName(gates.improvement(cv)))
+
+
 def flag_counts(spark, sf_dir):
     found = anomaly.detect_mispriced(sampledata.history(spark, sf_dir), ordered=False)
     return anomaly.flag_counts(found)
@@ -268,6 +282,12 @@ def measurements(spark, sf_dir):
     return parsed.select("source_url", "m.*", ratio.alias("l_w_ratio"))
 
 
+def modifier_words(spark, sf_dir):
+    """Modifiers as vendors write them, those that say none emptied."""
+    word = F.expr(sampledata.MODIFIERS)
+    return sampledata.listings(spark, sf_dir).select("source_url", word.alias("word"), text.clean_modifier(word).alias("modifier"))
+
+
 def price_text(spark, sf_dir):
     rows = sampledata.measure_texts(spark, sf_dir)
     return rows.select("source_url", text.parse_price(F.col("price_text")).alias("price_usd"))
@@ -456,76 +476,137 @@ def time_holdout_baseline(spark, sf_dir):
 
 
 def gram_matrix(spark, sf_dir):
-    """Weight and gap terms of the cross products per vendor, one cell per row."""
-    rows = training_rows(spark, sf_dir, written=False)
+    """All cells of the cross products per vendor that are not zero, one per row."""
+    rows = training_rows(spark, sf_dir)
     design = model.fit_design(rows)
-    wanted = ["intercept", "length_mm", "length_mm_missing", "carat_ramp_1.0_1.5", "carat_ln"]
-    places = {design.columns.index(name): name for name in wanted} | {len(design.columns): "log_price"}
-    table = model.cross_products(rows, design, ["vendor"]).where(F.col("i").isin(*places))
-    cells = table.select("vendor", "i", "block", F.posexplode("sums").alias("k", "value"))
-    cells = cells.withColumn("j", F.col("block") * model.BLOCK + F.col("k"))
-    names = F.create_map(*[F.lit(x) for place in places.items() for x in place])
-    return cells.where(F.col("j").isin(*places) & (F.col("i") <= F.col("j"))).select(
-        "vendor",
-        names[F.col("i")].alias("left_term"),
-        names[F.col("j")].alias("right_term"),
-        F.round("value", 3).alias("value"),
+    cells = model.cross_products(rows, design, ["vendor"])
+    names = F.lit([*design.columns, "log_price"])
+    rounded = F.round(F.col("value") + NUDGE, 2)
+    return cells.where(rounded != 0).select(
+        "vendor", F.get(names, F.col("i")).alias("left_term"), F.get(names, F.col("j")).alias("right_term"), rounded.alias("value")
     )
 
 
+def stored_coefficient(feature: str) -> float:
+    """The rule of the stored coefficients: by the length of the column's name, above zero for the weight."""
+    if feature == "intercept":
+        return 6.0
+    if feature.startswith("carat_"):
+        return (len(feature) % 5 + 1) / 10
+    return (len(feature) * 7 % 11 - 5) / 100
+
+
+def stored_models(rows: DataFrame, design: model.Design) -> validation.Stored:
+    """A family of models written as a table and read back: of all rows, each fold, the early rows and each vendor.
+
+    They differ in the intercept, by the fold, the length of the vendor's name
+    or a constant.
+    """
+    spark = rows.sparkSession
+    known = spark.createDataFrame([(c, stored_coefficient(c)) for c in design.columns], "feature string, coefficient double")
+    vendors = rows.select("vendor", "fold").distinct()
+    none = F.lit("")
+    splits_of = [
+        spark.range(1).select(F.lit("whole").alias("split"), none.alias("part"), F.lit(0.0).alias("shift")),
+        spark.range(1).select(F.lit("early"), none, F.lit(0.05)),
+        vendors.select(F.lit("fold"), F.col("fold").cast("string"), F.col("fold") / 50).distinct(),
+        vendors.select(F.lit("vendor"), "vendor", F.length("vendor") / 50),
+    ]
+    parts = reduce(DataFrame.union, splits_of)
+    columns = F.explode(F.lit(design.columns)).alias("feature")
+    table = parts.select("split", "part", "shift", columns).join(known, "feature")
+    value = F.col("coefficient") + F.when(F.col("feature") == "intercept", F.col("shift")).otherwise(0.0)
+    table = write_out(table.select("split", "part", "feature", value.alias("coefficient")), "coefficients")
+    means, n = model.column_means(rows, design)
+    return validation.Stored(design, table, tuple(means), n)
+
+
+def _revalidated(spark, sf_dir) -> train.Validation:
+    """The stored models judged on the training rows."""
+    return train.validate(training_rows(spark, sf_dir), tie=TIE, stored=stored_models)
+
+
 def cv_metrics(spark, sf_dir):
-    return train.validate(training_rows(spark, sf_dir), tie=TIE).per_fold
+    return _plain(_revalidated(spark, sf_dir).per_fold)
 
 
 def cv_summary(spark, sf_dir):
-    return train.validate(training_rows(spark, sf_dir), tie=TIE).cv
+    return _plain(_revalidated(spark, sf_dir).cv)
 
 
 def vendor_holdout(spark, sf_dir):
-    rows = training_rows(spark, sf_dir).withColumn("is_late", F.lit(None).cast("boolean"))
-    sums = validation.collect_sums(rows, model.fit_design(rows))
-    return validation.vendor_holdout(rows, sums)
+    return _plain(_revalidated(spark, sf_dir).vendor_holdout)
 
 
 def time_holdout(spark, sf_dir):
-    return train.validate(training_rows(spark, sf_dir), tie=TIE).time_holdout
+    return _plain(_revalidated(spark, sf_dir).time_holdout)
 
 
 def attribution(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    return model.attribution(rows, _fitted(rows))
+    """How far every column of the stored model moves predictions, with its rank as written."""
+    checked = _revalidated(spark, sf_dir)
+    path = _scratch(spark, "attribution")
+    writers.write_attribution(model.attribution(checked.rows, checked.sums.whole), path)
+    written = spark.read.option("header", True).csv(path)
+    size = text.to_number(F.col("mean_abs_contribution"))
+    return _plain(written.select("feature", size.alias("mean_abs_contribution"), F.col("rank").cast("bigint").alias("rank")))
 
 
-def _fitted(rows: DataFrame) -> model.Model:
-    design = model.fit_design(rows)
-    return model.fit(model.collect_matrix(model.cross_products(rows, design, []), design), design)
+def metrics_record(spark, sf_dir):
+    """The metrics report of the stored models as written, read back."""
+    checked = _revalidated(spark, sf_dir)
+    path = _scratch(spark, "metrics")
+    record = train.metrics_record(checked, checked.cv, checked.sums.whole)
+    writers.write_report(record, path)
+    written = spark.read.schema(record.schema).json(path)
+    return _plain(
+        written.select(
+            "n_samples",
+            "n_groups",
+            "feature_count",
+            "status",
+            "cv_mae_improvement_vs_baseline",
+            F.array_join("vendor_holdout.vendor", ",").alias("vendors"),
+            "time_holdout.cutoff_date",
+        )
+    )
 
 
 def two_stage_model(spark, sf_dir):
     """Mean absolute out-of-fold error of the linear model and with trees on top."""
-    checked = train.validate(training_rows(spark, sf_dir), tie=TIE)
-    both = residual_trees.out_of_fold_in_two_stages(checked.rows, checked.sums, checked.folds)
+    both = train.validate(training_rows(spark, sf_dir), tie=TIE).boosted(whole=False).out_of_fold()
     return both.groupBy("vendor").agg(
         baseline.mean_absolute("linear_log_price").alias("linear_mae_log"),
         baseline.mean_absolute("predicted_log_price").alias("two_stage_mae_log"),
     )
 
 
+def _fitted(rows: DataFrame) -> model.Model:
+    design = model.fit_design(rows)
+    return model.fit(model.collect_cells(model.cross_products(rows, design, []), design), design)
+
+
 def model_contract(spark, sf_dir):
+    """The fitted model as published, read back, with the conditions of its fit per column."""
     rows = training_rows(spark, sf_dir)
-    return model.model_table(spark, _fitted(rows))
+    path = _scratch(spark, "model")
+    model.model_table(spark, _fitted(rows)).write.parquet(path)
+    table = spark.read.parquet(path)
+    judged = model.optimality(rows, model.load_model(table)).drop("monotone")
+    return table.join(judged, "feature").select(
+        F.col("position").cast("bigint").alias("position"), "feature", "monotone", "not_negative", "stationary", "complementary"
+    )
 
 
 def scored(spark, sf_dir):
-    """Prices with bands from out-of-fold errors."""
-    checked = train.validate(training_rows(spark, sf_dir), tie=TIE)
-    fitted = model.fit(checked.sums.total, checked.design)
+    """Prices of the stored model with bands from its out-of-fold errors."""
+    checked = _revalidated(spark, sf_dir)
+    fitted = checked.sums.whole
     bands = policy.error_bands(checked.errors(fitted)).first()
     listings = normalize.normalize(sampledata.priced_listings(spark, sf_dir))
     wanted = ["missing_count", "reject", "predicted_price", "price_low", "price_high"]
-    return policy.score(listings, fitted, policy.Policy(bands["p75"], bands["p90"])).select(
-        "source_url", *wanted
-    )
+    out = policy.score(listings, fitted, policy.Policy(bands["p75"], bands["p90"]))
+    return _plain(out.select("source_url", *wanted), 2)
 
 
 def reject_rule(spark, sf_dir):
@@ -539,13 +620,9 @@ def reject_rule(spark, sf_dir):
 
 
 def uncertainty_policy(spark, sf_dir):
-    """The policy over the baseline's own residuals."""
-    rows = training_rows(spark, sf_dir)
-    scored_rows = baseline.predict_baseline(rows, baseline.fit_baseline(rows))
-    residuals = scored_rows.select(
-        F.abs(F.col("log_price") - F.col("baseline_log_price")).alias("abs_error")
-    )
-    _, report = policy.uncertainty_policy(rows, residuals)
+    """The policy over the out-of-fold errors of the stored models."""
+    checked = _revalidated(spark, sf_dir)
+    _, report = policy.uncertainty_policy(checked.rows, checked.errors(checked.sums.whole))
     flat = report.select(
         F.col("reject_if_missing_feature_count_ge").alias("reject_missing"),
         F.col("high_uncertainty_abs_log_error_threshold").alias("high_error"),
@@ -567,6 +644,75 @@ def csv_scan(spark, sf_dir):
     return _plain(readers.read_present(spark, [f"{folder}/one.csv", absent]), None)
 
 
+def csv_quoted_breaks(spark, sf_dir):
+    """A CSV feed with line breaks, quotes and commas inside its values, read without being told."""
+    folder = _scratch(spark, "feeds")
+    raw = sampledata.listings(spark, sf_dir).drop("feed").withColumn("girdle", F.expr(sampledata.QUOTED))
+    raw.write.option("header", True).option("escape", '"').csv(f"{folder}/one.csv")
+    return _plain(readers.read_present(spark, [f"{folder}/one.csv"]).select("source_url", "carat", "girdle", "culet", "cert_number"), None)
+
+
+def merged_inputs(spark, sf_dir):
+    """Two feeds of different formats and columns, and one that is absent, as one table."""
+    folder = _scratch(spark, "feeds")
+    raw = sampledata.listings(spark, sf_dir).drop("feed")
+    odd = F.col("table_pct") % 2 == 1
+    raw.where(odd).drop("culet").write.option("header", True).option("escape", '"').csv(f"{folder}/one.csv")
+    raw.where(~odd).select(*reversed(raw.columns)).write.json(f"{folder}/two.json")
+    return _plain(readers.read_present(spark, [f"{folder}/{n}" for n in ("one.csv", "absent.parquet", "two.json")]), None)
+
+
+def run_feeds(spark, sf_dir):
+    """What became of every feed of a run: read, absent, without rows, of an unknown format, a partner's file."""
+    folder = _scratch(spark, "feeds")
+    raw = sampledata.listings(spark, sf_dir)
+
+    def of(region):
+        return raw.where(F.col("feed") == region).drop("feed")
+
+    of("africa").write.option("header", True).option("escape", '"').csv(f"{folder}/africa.csv")
+    of("asia").write.json(f"{folder}/asia.json")
+    of("europe").write.parquet(f"{folder}/europe.parquet")
+    of("america").drop("vendor").write.option("header", True).option("escape", '"').csv(f"{folder}/partner.csv")
+    readers.header_only(spark).write.parquet(f"{folder}/placeholder.parquet")
+    feeds = {r: f"{folder}/{r}.{kind}" for r, kind in (("africa", "csv"), ("asia", "json"), ("europe", "parquet"), ("placeholder", "parquet"), ("absent", "csv"), ("table", "xml"))}
+    rows, skipped = readers.read_run(spark, feeds | {"import:partner": folder, "import:nobody": folder})
+    vendors = rows.groupBy("feed").agg(F.min("vendor").alias("first_vendor"))
+    return readers.feed_outcomes(spark, rows, skipped).join(vendors, "feed", "left")
+
+
+def harvest_batch(spark, sf_dir):
+    """Stored pages harvested into a feed's batch, read back."""
+    done = _harvested(spark, sf_dir)
+    return _plain(spark.read.parquet(done.batch_path).select(*schema.LISTING_COLUMNS), None)
+
+
+def harvest_log(spark, sf_dir):
+    """The extraction log that the same harvest writes, read back."""
+    done = _harvested(spark, sf_dir)
+    log = spark.read.json(done.log_path)
+    return log.select("vendor", "listing_key", "source_url", "parse_ok", F.array_join("parsed_fields", ",").alias("parsed_fields"))
+
+
+def harvest_counts(spark, sf_dir):
+    """A harvested batch and a header-only source through the run metrics, with the counts of the harvest."""
+    done = _harvested(spark, sf_dir)
+    batch = spark.read.parquet(done.batch_path).withColumn("feed", F.lit("table"))
+    silent = readers.header_only(spark).withColumn("feed", F.lit("placeholder"))
+    requested = spark.createDataFrame([("table",), ("placeholder",)], "feed string")
+    measured = quality.summarize_feeds(batch.unionByName(silent), requested)
+    parsed = F.when(F.col("feed") == "table", done.parsed).otherwise(0)
+    return _plain(measured.withColumn("parsed", parsed.cast("bigint")))
+
+
+def _harvested(spark, sf_dir) -> harvest.Harvest:
+    folder = _scratch(spark, "stored")
+    lists, details = sampledata.table_pages(spark, sf_dir)
+    lists.write.parquet(f"{folder}/lists")
+    details.write.parquet(f"{folder}/details")
+    return harvest.harvest(spark, f"{folder}/lists", f"{folder}/details", "table", AS_OF, f"{folder}/raw", "table")
+
+
 def import_scan(spark, sf_dir):
     folder = _scratch(spark, "imports")
     raw = sampledata.listings(spark, sf_dir).withColumn(
@@ -652,7 +798,7 @@ def merge_clean(spark, sf_dir):
     )
     return _plain(
         report.select(
-            F.col("row_count"), F.col("joint_parse_rate"), F.col("required_completeness.carat")
+            "rows_read", "rows_kept", "row_count", "joint_parse_rate", F.col("required_completeness.carat")
         )
     )
 
@@ -709,12 +855,14 @@ QUERIES: dict[str, Query] = {
         run_ids,
         mispriced,
         price_stats,
+        mispriced_ranking,
         flag_counts,
         title_parse_table,
         title_parse_label,
         spec_parse_table,
         spec_parse_label,
         measurements,
+        modifier_words,
         price_text,
         url_keys,
         page_links,
@@ -747,12 +895,20 @@ QUERIES: dict[str, Query] = {
         vendor_holdout,
         time_holdout,
         attribution,
+        metrics_record,
+        training_gates,
         two_stage_model,
         model_contract,
         scored,
         reject_rule,
         uncertainty_policy,
         csv_scan,
+        csv_quoted_breaks,
+        merged_inputs,
+        run_feeds,
+        harvest_batch,
+        harvest_log,
+        harvest_counts,
         import_scan,
         anomaly_report,
         json_scan,

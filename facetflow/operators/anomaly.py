@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,11 @@ def price_stats(history: DataFrame) -> DataFrame:
     return stats.join(medians.withColumnRenamed("quantile", "median"), "listing_key")
 
 
+def _order() -> list[Column]:
+    """Undervalued listings first, then by deviation."""
+    return [F.desc("is_potentially_undervalued"), F.asc_nulls_last("z_score"), F.asc("listing_key")]
+
+
 def detect_mispriced(
     history: DataFrame,
     z_threshold: float = Z_THRESHOLD,
@@ -83,11 +88,13 @@ def detect_mispriced(
             ),
         }
     )
-    if not ordered:
-        return out
-    return out.orderBy(
-        F.col("is_potentially_undervalued").desc(), F.col("z_score").asc_nulls_last(), "listing_key"
-    )
+    return out.orderBy(*_order()) if ordered else out
+
+
+def ranked(mispriced: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` rows of the report with their ``rank`` from 1."""
+    first = mispriced.orderBy(*_order()).limit(top)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(*_order())).cast("long"))
 
 
 def flag_counts(mispriced: DataFrame) -> DataFrame:

@@ -161,18 +161,31 @@ def enforce(summary: DataFrame) -> None:
         raise GateFailed(row["status"], row["detail"])
 
 
-def enforce_training_quality(report: DataFrame | None, minimum: float = MIN_JOINT_PARSE_RATE):
-    """The report must exist and its joint parse rate must reach the minimum."""
-    row = None if report is None else report.select("joint_parse_rate").first()
-    if row is None:
-        raise GateFailed("failed_quality_gate", "no quality report")
-    if (row[0] or 0.0) < minimum:
-        raise GateFailed("failed_quality_gate", f"joint_parse_rate {row[0]} < {minimum}")
+def training_quality(report: DataFrame, minimum: float = MIN_JOINT_PARSE_RATE) -> DataFrame:
+    """``gate, value, minimum, passes`` of the gate before training."""
+    return _outcome(report, "quality", F.coalesce("joint_parse_rate", F.lit(0.0)), minimum)
+
 
+def improvement(cv: DataFrame, minimum: float = MIN_IMPROVEMENT) -> DataFrame:
+    """``gate, value, minimum, passes``: the model must beat the median baseline by at least the minimum."""
+    return _outcome(cv, "model", F.col("baseline_cv_mae_log_mean") - F.col("cv_mae_log_mean"), minimum)
+
+
+def _outcome(row: DataFrame, gate: str, value: Column, minimum: float) -> DataFrame:
+    return row.select(
+        F.lit(gate).alias("gate"), value.alias("value"), F.lit(float(minimum)).alias("minimum"), (value >= minimum).alias("passes")
+    )
 
-def enforce_improvement(model_mae: float, baseline_mae: float, minimum: float = MIN_IMPROVEMENT):
-    """The model must beat the median baseline by at least the minimum."""
-    improvement = baseline_mae - model_mae
-    if improvement < minimum:
-        raise GateFailed("failed_model_gate", f"improvement {improvement:.4f} < {minimum:.4f}")
-    return improvement
+
+def enforce_gate(outcome: DataFrame) -> None:
+    """Raise if the gate did not pass, or there is nothing to judge."""
+    row = outcome.first()
+    if row is None or not row["passes"]:
+        raise GateFailed(f"failed_{row['gate']}_gate" if row else "failed_quality_gate", f"{row['value']} < {row['minimum']}" if row else "no report")
+
+
+def enforce_training_quality(report: DataFrame | None, minimum: float = MIN_JOINT_PARSE_RATE) -> None:
+    """The report must exist and its joint parse rate must reach the minimum."""
+    if report is None:
+        raise GateFailed("failed_quality_gate", "no quality report")
+    enforce_gate(training_quality(report, minimum))

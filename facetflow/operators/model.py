@@ -4,20 +4,23 @@ Ridge least squares on log price. The weight enters through ramps between fixed
 edges and its logarithm, all with coefficients that may not be negative; the
 grades enter as indicators, the other measures as values with an indicator for
 gaps. Everything needed to fit any training split is a sum over rows, so one
-pass that adds up cross products per vendor and period serves every fold, every
-vendor holdout, the time holdout and the final fit: a training split is the
-total minus its test part.
+pass that adds up cross products per fold and period serves every fold, the time
+holdout and the final fit: a training split is the total minus its test part.
+
+The sums are kept as the cells that are not zero. Spark adds them up from the
+terms a row has, numbers and one level of every grade, so neither a row nor a
+sum is ever as wide as the levels.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
-from collections.abc import Iterator
+import zlib
 from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +31,23 @@ from facetflow.functions.features import CATEGORICAL, NUMERIC, or_missing
 # alone carries on.
 RAMP_EDGES = [0.0, 0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 8.0, 12.0, 20.0, 30.0]
 RIDGE = 1e-4
-# A dense design of this width still fits the p x p sums of a few splits.
-MAX_COLUMNS = 4000
-# Cells per stored block of the cross products.
-BLOCK = 16
-# Groups one task holds before it passes its partial sums on.
-_GROUPS_IN_TASK = 64
-
 MEASURES = [c for c in NUMERIC if c != "carat"]
 
 
+def _looked_up(values: list[str], start: int, key: Column) -> Column:
+    """``start`` plus the place of ``key`` in ``values``, by a small table per checksum."""
+    slots = max(1, len(values) // 4)
+    names: list[list[str]] = [[] for _ in range(slots)]
+    places: list[list[int]] = [[] for _ in range(slots)]
+    for k, value in enumerate(values):
+        slot = zlib.crc32(value.encode()) % slots
+        names[slot].append(value)
+        places[slot].append(start + k)
+    own = (F.crc32(key.cast("binary")) % slots).cast("int")
+    found = F.array_position(F.get(F.from_json(F.lit(json.dumps(names)), "array<array<string>>"), own), key)
+    return F.get(F.get(F.from_json(F.lit(json.dumps(places)), "array<array<int>>"), own), found.cast("int") - 1)
+
+
 @dataclass(frozen=True)
 class Design:
     """The versioned feature contract: levels of every grade and column order."""
@@ -68,14 +78,15 @@ class Design:
         before = CATEGORICAL[: CATEGORICAL.index(grade)]
         return 1 + sum(len(self.levels[g]) for g in before)
 
+    @cached_property
+    def widest(self) -> tuple[int, int]:
+        """Where the columns of the grade with the most levels start and end."""
+        grade = max(CATEGORICAL, key=lambda g: len(self.levels[g]))
+        return self.offset(grade), self.offset(grade) + len(self.levels[grade])
+
     def codes(self) -> list[Column]:
         """Position of every grade in its levels, 0 for an unknown grade."""
-        return [
-            F.array_position(F.array(*[F.lit(v) for v in self.levels[g]]), or_missing(F.col(g)))
-            .cast("int")
-            .alias(g)
-            for g in CATEGORICAL
-        ]
+        return [F.coalesce(_looked_up(self.levels[g], 1, or_missing(F.col(g))), F.lit(0)).alias(g) for g in CATEGORICAL]
 
     def numbers(self) -> list[tuple[str, Column]]:
         """Name and expression of every column after the indicators."""
@@ -90,29 +101,29 @@ class Design:
         out.append(("carat_ln", F.ln(carat)))
         return out
 
-    def matrix(self, batch: pd.DataFrame) -> np.ndarray:
-        """Dense rows of a batch of ``codes`` and raw measures."""
-        n = len(batch)
-        x = np.zeros((n, len(self.columns)))
-        x[:, 0] = 1.0
-        rows = np.arange(n)
+    @cached_property
+    def at(self) -> dict[str, int]:
+        """Position of every column; ``log_price`` comes after the last."""
+        return {name: i for i, name in enumerate([*self.columns, "log_price"])}
+
+    def encode(self, rows: DataFrame) -> DataFrame:
+        """Add ``_at_<grade>``, the column of the row's level; null for a level unknown to the design."""
+        out = {}
         for grade in CATEGORICAL:
-            code = batch[grade].to_numpy()
-            known = code > 0
-            x[rows[known], self.offset(grade) + code[known] - 1] = 1.0
-        at = self.columns.index(MEASURES[0])
-        for measure in MEASURES:
-            value = batch[measure].to_numpy(dtype=float)
-            gap = np.isnan(value)
-            x[:, at] = np.where(gap, 0.0, value)
-            x[:, at + 1] = gap
-            at += 2
-        carat = batch["carat"].to_numpy(dtype=float)
-        for a, b in self.ramps:
-            x[:, at] = np.clip((carat - a) / (b - a), 0.0, 1.0)
-            at += 1
-        x[:, at] = np.log(carat)
-        return x
+            start = self.offset(grade)
+            out[f"_at_{grade}"] = _looked_up(self.levels[grade], start, or_missing(F.col(grade)))
+        return rows.withColumns(out)
+
+    def number_terms(self, target: str | None = "log_price") -> list[tuple[int, Column]]:
+        """Position and value of the intercept, every number and the target."""
+        terms = [(0, F.lit(1.0)), *((self.at[name], value) for name, value in self.numbers())]
+        return terms + ([(self.at["log_price"], F.col(target))] if target else [])
+
+    def terms(self, target: str | None = "log_price") -> Column:
+        """The terms of an encoded row, as rows ``i, x``."""
+        pairs = [x for i, value in self.number_terms(target) for x in (F.lit(i), value.cast("double"))]
+        pairs += [x for grade in CATEGORICAL for x in (F.col(f"_at_{grade}"), F.lit(1.0))]
+        return F.stack(F.lit(len(pairs) // 2), *pairs).alias("i", "x")
 
 
 def category_levels(df: DataFrame) -> DataFrame:
@@ -127,109 +138,155 @@ def category_levels(df: DataFrame) -> DataFrame:
 
 def fit_design(rows: DataFrame) -> Design:
     """Freeze the levels of the whole data, so that all splits share one design."""
-    levels = category_levels(rows).limit(MAX_COLUMNS + 1).collect()
-    if len(levels) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} grade levels; standardise the grades first")
+    levels = category_levels(rows).collect()
     return Design({g: sorted(r["level"] for r in levels if r["feature"] == g) for g in CATEGORICAL})
 
 
 def cross_products(rows: DataFrame, design: Design, by: list[str]) -> DataFrame:
-    """``by, i, block, sums``: cross products of all columns and log price.
+    """``by, i, j, value``: the cells i <= j of the cross products of all columns and log price that are not zero.
 
-    Row ``i`` of the symmetric matrix is stored from the diagonal block on, in
-    blocks of ``BLOCK`` cells. Every task adds up its own rows and emits the
-    blocks once per group, so what is shuffled does not grow with the number of
-    rows; the partial blocks are added on the executors, spread over groups,
-    rows and blocks.
+    Every term of a row meets the row's numbers, 27 sums a term, and every pair
+    of its levels is counted. Both are plain aggregates: a task passes on one
+    partial sum per group and term it has seen.
     """
-    width = len(design.columns) + 1
-    blocks = -(-width // BLOCK)
-    cells = [(i, b) for i in range(width) for b in range(i // BLOCK, blocks)]
-    at_row = np.array([i for i, _ in cells], dtype=np.int32)
-    at_block = np.array([b for _, b in cells], dtype=np.int32)
-    names = [*by, *CATEGORICAL, *MEASURES, "carat", "log_price"]
-    slim = rows.select(*by, *design.codes(), *MEASURES, "carat", "log_price")
-
-    def emit(sums):
-        for group, matrix in sums.items():
-            padded = np.zeros((width, blocks * BLOCK))
-            padded[:, :width] = matrix
-            pieces = padded.reshape(width, blocks, BLOCK)[at_row, at_block]
-            frame = pd.DataFrame({"i": at_row, "block": at_block, "v": list(pieces)})
-            for name, value in zip(reversed(by), reversed(group)):
-                frame.insert(0, name, pd.Series([value] * len(cells), dtype=object))
-            yield frame
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            z = np.column_stack([design.matrix(batch), batch["log_price"].to_numpy(dtype=float)])
-            ids = batch.groupby(by, dropna=False, sort=False).ngroup().to_numpy() if by else z[:, 0]
-            for group in np.unique(ids):
-                index = np.flatnonzero(ids == group)
-                first = batch.iloc[index[0]]
-                key = tuple(None if pd.isna(first[c]) else first[c] for c in by)
-                part = z[index]
-                product = part.T @ part
-                if key in sums:
-                    sums[key] += product
-                else:
-                    sums[key] = product
-            if len(sums) > _GROUPS_IN_TASK:
-                yield from emit(sums)
-                sums = {}
-        yield from emit(sums)
-
-    kinds = [f"{c} {slim.schema[c].dataType.simpleString()}" for c in by]
-    schema = ", ".join([*kinds, "i int", "block int", "v array<double>"])
-    partial = slim.select(*names).mapInPandas(run, schema).withColumnRenamed("v", "sums")
-    return add_blocks(partial, by)
-
-
-def add_blocks(partial: DataFrame, by: list[str]) -> DataFrame:
-    """Add up blocks of the same place."""
-    added = F.array(*[F.sum(F.get("sums", F.lit(j))) for j in range(BLOCK)])
-    return partial.groupBy(*by, "i", "block").agg(added.alias("sums"))
-
-
-def as_matrix(rows, width: int) -> np.ndarray:
-    """The symmetric matrix of ``(i, block, sums)`` rows; equal places are added."""
-    padded = np.zeros((width, -(-width // BLOCK) * BLOCK))
-    for i, block, sums in rows:
-        padded[i, block * BLOCK : (block + 1) * BLOCK] += np.asarray(sums)
-    upper = np.triu(padded[:, :width])
-    return upper + np.triu(upper, 1).T
-
-
-def collect_matrix(table: DataFrame, design: Design) -> np.ndarray:
-    """A table without groups as one matrix on the driver: p x p cells."""
-    rows = table.select("i", "block", "sums").collect()
-    return as_matrix([tuple(r) for r in rows], len(design.columns) + 1)
-
-
-def solve(sums: np.ndarray, monotone: list[bool], ridge: float = RIDGE) -> np.ndarray:
+    numbers = design.number_terms()
+    named = [f"_x{k}" for k in range(len(numbers))]
+    values = {n: x.cast("double") for n, (_, x) in zip(named, numbers)}
+    slim = design.encode(rows).withColumns(values)
+    each = slim.select(*by, *named, design.terms()).where("i is not null and x <> 0")
+    sums = each.groupBy(*by, "i").agg(*[F.sum(F.col("x") * F.col(n)).alias(n) for n in named])
+    cells = F.stack(F.lit(len(numbers)), *[x for n, (j, _) in zip(named, numbers) for x in (F.lit(j), F.col(n))]).alias("j", "value")
+    beside = sums.select(*by, "i", cells)
+    first_grade, first_number = 1, numbers[1][0]
+    graded = F.col("i").between(first_grade, first_number - 1)
+    beside = beside.where((F.col("value") != 0) & (graded | (F.col("i") <= F.col("j"))))
+    beside = beside.select(*by, F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "value")
+    met = list(itertools.combinations_with_replacement(CATEGORICAL, 2))
+    pairs = F.stack(F.lit(len(met)), *[F.col(f"_at_{g}") for pair in met for g in pair]).alias("i", "j")
+    met = design.encode(rows).select(*by, pairs).dropna(subset=["i", "j"])
+    counted = met.groupBy(*by, "i", "j").agg(F.count("*").cast("double").alias("value"))
+    return beside.unionByName(counted)
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Symmetric sums as their upper cells that are not zero, in order."""
+
+    width: int
+    place: np.ndarray  # i * width + j
+    value: np.ndarray
+
+    @staticmethod
+    def of_dense(matrix: np.ndarray) -> Cells:
+        i, j = np.nonzero(np.triu(matrix))
+        return Cells(len(matrix), i * len(matrix) + j, matrix[i, j])
+
+    @staticmethod
+    def of(rows, width: int) -> Cells:
+        """From ``(i, j, value)``; equal places are added."""
+        table = np.array([tuple(r) for r in rows], dtype=float).reshape(-1, 3)
+        place, where = np.unique((table[:, 0] * width + table[:, 1]).astype(np.int64), return_inverse=True)
+        return Cells(width, place, np.bincount(where, table[:, 2], minlength=len(place)))
+
+    def plus(self, other: Cells, sign: float = 1.0) -> Cells:
+        place, where = np.unique(np.concatenate([self.place, other.place]), return_inverse=True)
+        return Cells(self.width, place, np.bincount(where, np.concatenate([self.value, sign * other.value]), minlength=len(place)))
+
+    def minus(self, other: Cells) -> Cells:
+        return self.plus(other, -1.0)
+
+    def at(self, i: int, j: int) -> float:
+        k = np.searchsorted(self.place, i * self.width + j)
+        return float(self.value[k]) if k < len(self.place) and self.place[k] == i * self.width + j else 0.0
+
+    @property
+    def rows(self) -> float:
+        return self.at(0, 0)
+
+    @property
+    def both(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, column and value of the cells on both sides of the diagonal."""
+        i, j = np.divmod(self.place, self.width)
+        off = i != j
+        return np.concatenate([i, j[off]]), np.concatenate([j, i[off]]), np.concatenate([self.value, self.value[off]])
+
+    def diagonal(self) -> np.ndarray:
+        i, j = np.divmod(self.place, self.width)
+        out = np.zeros(self.width)
+        out[i[i == j]] = self.value[i == j]
+        return out
+
+    def row(self, k: int) -> np.ndarray:
+        i, j, value = self.both
+        out = np.zeros(self.width)
+        out[j[i == k]] = value[i == k]
+        return out
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((self.width, self.width))
+        i, j, value = self.both
+        out[i, j] = value
+        return out
+
+
+def collect_cells(table: DataFrame, design: Design) -> Cells:
+    """A table without groups on the driver: the cells of one matrix that are not zero."""
+    return Cells.of(table.select("i", "j", "value").collect(), len(design.columns) + 1)
+
+
+def solve(sums: Cells, monotone: list[bool], ridge: float = RIDGE, block: tuple[int, int] = (0, 0), start: np.ndarray | None = None) -> np.ndarray:
     """Ridge coefficients with the marked ones not negative.
 
-    Active-set method on the scaled normal equations: marked columns start at
-    zero, enter while the error still falls, and leave when they would turn
-    negative. Columns without any variation in scale get coefficient 0.
+    The columns from ``block[0]`` to before ``block[1]`` never meet each other,
+    as the levels of one grade; they are solved for by division, so the system
+    that is left has all other columns only. ``start`` are coefficients to begin
+    from. Columns without any variation in scale get coefficient 0.
     """
     p = len(monotone)
-    n = max(sums[0, 0], 1.0)
-    moments, target = sums[:p, :p] / n, sums[:p, p] / n
-    scale = np.sqrt(np.maximum(np.diag(moments), 0.0))
+    n = max(sums.rows, 1.0)
+    scale = np.sqrt(np.maximum(sums.diagonal()[:p] / n, 0.0))
     live = scale > 1e-12
     safe = np.where(live, scale, 1.0)
-    a = moments / np.outer(safe, safe)
-    penalty = np.full(p, ridge)
-    penalty[0] = 0.0
-    a = a + np.diag(penalty)
-    b = target / safe
-    bound = np.array(monotone)
+    target = sums.row(p)[:p] / n / safe
+    inner = np.zeros(p, dtype=bool)
+    inner[block[0] : block[1]] = True
+    outer = np.flatnonzero(~inner)
+    new = np.full(p, -1)
+    new[outer] = np.arange(len(outer))
+    i, j, value = sums.both
+    kept = (i < p) & (j < p)
+    i, j, value = i[kept], j[kept], value[kept] / n / (safe[i[kept]] * safe[j[kept]])
+
+    a = np.zeros((len(outer), len(outer)))
+    both = ~inner[i] & ~inner[j]
+    a[new[i[both]], new[j[both]]] = value[both]
+    penalty = np.where(outer == 0, 0.0, ridge)
+    a[np.arange(len(outer)), np.arange(len(outer))] += penalty
+    b = target[outer]
+    across = np.zeros((len(outer), block[1] - block[0]))
+    mixed = ~inner[i] & inner[j]
+    across[new[i[mixed]], j[mixed] - block[0]] = value[mixed]
+    weight = np.where(live[inner], 1.0 / (1.0 + ridge), 0.0)
+    a = a - (across * weight) @ across.T
+    b = b - across @ (weight * target[inner])
+
+    bound = np.array(monotone, dtype=bool)[outer]
+    first = None if start is None else (start * safe)[outer]
+    beta = np.zeros(p)
+    beta[outer] = _active_set(a, b, bound, live[outer], first)
+    beta[inner] = weight * (target[inner] - beta[outer] @ across)
+    return np.where(live, beta / safe, 0.0)
+
 
+def _active_set(a: np.ndarray, b: np.ndarray, bound: np.ndarray, live: np.ndarray, start: np.ndarray | None) -> np.ndarray:
+    """Marked columns start at zero (or as in ``start``), enter while the error still falls, and leave when they would turn negative."""
+    p = len(b)
     beta = np.zeros(p)
     passive = live & ~bound
-    tolerance = 1e-10 * max(1.0, float(np.abs(b).max()))
+    if start is not None:
+        passive = live & (~bound | (start > 0))
+        beta = np.where(passive & bound, start, 0.0)
+    tolerance = 1e-10 * max(1.0, float(np.abs(b).max(initial=0.0)))
     for _ in range(10 * p):
         while True:
             index = np.flatnonzero(passive)
@@ -253,7 +310,7 @@ def solve(sums: np.ndarray, monotone: list[bool], ridge: float = RIDGE) -> np.nd
         if not candidates.any():
             break
         passive[int(np.argmax(np.where(candidates, gain, -np.inf)))] = True
-    return np.where(live, beta / safe, 0.0)
+    return beta
 
 
 def scoring_vector(design: Design, coefficients) -> list[float]:
@@ -310,14 +367,51 @@ class Model:
         return linear_prediction(self.design, F.lit(scoring_vector(self.design, self.coefficients)))
 
 
-def fit(sums: np.ndarray, design: Design, ridge: float = RIDGE) -> Model:
+def fit(sums: Cells, design: Design, ridge: float = RIDGE, start: Model | None = None) -> Model:
     p = len(design.columns)
-    n = sums[0, 0]
+    begin = None if start is None else np.array(start.coefficients)
     return Model(
         design,
-        [float(c) for c in solve(sums, design.monotone, ridge)],
-        [float(m) for m in sums[0, :p] / max(n, 1.0)],
-        int(round(n)),
+        [float(c) for c in solve(sums, design.monotone, ridge, design.widest, begin)],
+        [float(m) for m in sums.row(0)[:p] / max(sums.rows, 1.0)],
+        int(round(sums.rows)),
+    )
+
+
+def column_means(rows: DataFrame, design: Design) -> tuple[list[float], int]:
+    """The mean of every column over ``rows``, and their number."""
+    each = design.encode(rows).select(design.terms(None)).where("i is not null")
+    sums = {r["i"]: r["x"] for r in each.groupBy("i").agg(F.sum("x").alias("x")).collect()}
+    n = sums.get(0, 0.0)
+    return [sums.get(i, 0.0) / max(n, 1.0) for i in range(len(design.columns))], int(n)
+
+
+def optimality(rows: DataFrame, model: Model, ridge: float = RIDGE, tolerance: float = 1e-7) -> DataFrame:
+    """``feature, monotone, not_negative, stationary, complementary`` per column.
+
+    The conditions of the constrained fit, from the rows themselves: the error
+    must not fall along any column that is free to move (``stationary``: the
+    slope is zero, for a bound column not above zero), and a bound column has no
+    slope or no weight (``complementary``).
+    """
+    design = model.design
+    error = (F.col("log_price") - model.predict()).alias("_error")
+    each = design.encode(rows).select(error, design.terms(None)).where("i is not null and x <> 0")
+    sums = each.groupBy("i").agg(F.sum(F.col("x") * F.col("_error")).alias("slope"), F.sum(F.col("x") * F.col("x")).alias("square"))
+    known = [(i, name, bound, c, 0.0 if i == 0 else ridge) for i, (name, bound, c) in enumerate(zip(design.columns, design.monotone, model.coefficients))]
+    columns = rows.sparkSession.createDataFrame(known, "i int, feature string, monotone boolean, coefficient double, ridge double")
+    n = max(model.rows, 1)
+    square = F.coalesce("square", F.lit(0.0)) / n
+    slope = F.coalesce("slope", F.lit(0.0)) / n - F.col("ridge") * square * F.col("coefficient")
+    judged = columns.join(sums, "i", "left").withColumn("slope", F.coalesce(slope / F.nullif(F.sqrt(square), F.lit(0.0)), F.lit(0.0)))
+    still = F.abs("slope") <= tolerance
+    bound, weight = F.col("monotone"), F.col("coefficient")
+    return judged.select(
+        "feature",
+        "monotone",
+        (~bound | (weight >= 0)).alias("not_negative"),
+        F.when(bound & (weight == 0), F.col("slope") <= tolerance).otherwise(still).alias("stationary"),
+        (~bound | (weight == 0) | still).alias("complementary"),
     )
 
 

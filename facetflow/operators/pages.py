@@ -1,21 +1,18 @@
 """From stored pages to cards, links and specification lines.
 
-Pages are a table ``url, html``. What can be found with a regular expression is
-found inside Spark; the nested parts (cards, specification blocks) go through
-one Arrow-batched map over the pages that contain them. No operator here
-gathers the pages of a site into one task.
+Pages are a table ``url, html``, read by built-in expressions only (see
+``functions.markup``). No operator here gathers the pages of a site into one
+task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetflow.functions import html as markup
+from facetflow.functions import markup
 from facetflow.functions.text import parse_price, strip
 
 
@@ -32,65 +29,50 @@ class Markup:
 MARKUP = Markup()
 
 _SHARES = 64
+_PRICE_SPAN = r"\A(?U)USD\s+[\d,]+\z"
 
 _ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
-def _map_html(
-    pages: DataFrame, keep: list[str], schema: str, read: Callable[[str, str], list[tuple]]
-) -> DataFrame:
-    """Apply a page reader batch by batch; it gives any number of rows per page."""
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            kept = batch[keep].itertuples(index=False, name=None)
-            for values, url, html in zip(kept, batch["_base"], batch["html"]):
-                rows.extend((*values, *found) for found in read(html, url))
-            yield pd.DataFrame(rows, columns=[*keep, *names])
-
-    kept_types = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in keep)
-    slim = pages.select(*keep, F.col("url").alias("_base"), "html")
-    return slim.mapInPandas(run, f"{kept_types}, {schema}")
-
-
 def page_cards(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     """``url, position, href, title, price`` of every product card."""
-
-    def read(html, base):
-        found = markup.cards(html, base, marks.card, marks.price)
-        return [(i, *card) for i, card in enumerate(found)]
-
     holding = pages.where(F.contains("html", F.lit(marks.card)))
-    return _map_html(
-        holding, ["url"], "position int, href string, title string, price string", read
+    found = markup.contents(markup.visible(F.col("html")), markup.with_class(marks.card))
+    cards = holding.select("url", F.posexplode(found).alias("position", "_card"))
+    card = F.col("_card")
+    href = strip(markup.attribute(markup.start_tag(card, "a"), "href"))
+    title, price = (
+        F.coalesce(markup.text_of(markup.first_content(card, pattern)), F.lit(""))
+        for pattern in (markup.with_tag("h3"), markup.with_class(marks.price))
     )
+    return cards.select("url", "position", absolute_url(href, F.col("url")).alias("href"), title.alias("title"), price.alias("price"))
 
 
 def table_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     """``url, lines``: the information-table rows of every detail page."""
-
-    def read(html, _):
-        return [(markup.table_detail(html, marks.rows),)]
-
     holding = pages.where(F.contains("html", F.lit(marks.rows)))
-    return _one_per_url(_map_html(holding, ["url"], "lines array<string>", read))
+    rows = markup.first_content(markup.visible(F.col("html")), markup.with_class(marks.rows))
+    lines = F.coalesce(markup.children_texts(rows), F.array().cast("array<string>"))
+    return _one_per_url(holding.select("url", lines.alias("lines")))
 
 
 def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     """``url, price_usd, lines, cert_lab`` of every detail page."""
-
-    def read(html, _):
-        return [markup.label_detail(html, marks.block, marks.report)]
-
     holding = pages.where(
         F.contains("html", F.lit(marks.block))
         | F.contains("html", F.lit("USD"))
         | F.contains("html", F.lit(marks.report))
     )
-    parsed = _map_html(
-        holding, ["url"], "price_text string, lines array<string>, report string", read
+    page = markup.visible(F.col("html"))
+    spans = F.filter(markup.tag_texts(F.col("html"), "span"), lambda t: t.rlike(_PRICE_SPAN))
+    block = markup.first_content(page, markup.with_class(marks.block, whole=True))
+    reports = F.transform(markup.contents(page, markup.with_class(marks.report)), markup.text_of)
+    report = F.get(F.filter(reports, lambda t: F.lower(t).contains("report type")), F.lit(0))
+    parsed = holding.select(
+        "url",
+        F.coalesce(F.get(spans, F.lit(0)), F.lit("")).alias("price_text"),
+        F.coalesce(markup.tag_texts(block, "p"), F.array().cast("array<string>")).alias("lines"),
+        F.coalesce(report, F.lit("")).alias("report"),
     )
     return _one_per_url(parsed).select(
         "url",
@@ -114,11 +96,7 @@ def certificate_lab(report: Column) -> Column:
 
 def tag_texts(pages: DataFrame, tag: str, keep: list[str]) -> DataFrame:
     """``keep, position, text``: text of every element with the tag, in page order."""
-
-    def read(html, _):
-        return list(enumerate(markup.tag_texts(html, tag)))
-
-    return _map_html(pages, keep, "position int, text string", read)
+    return pages.select(*keep, F.posexplode(markup.tag_texts(F.col("html"), tag)).alias("position", "text"))
 
 
 def first_heading(pages: DataFrame, keep: list[str], tag: str = "h3") -> DataFrame:
@@ -126,13 +104,17 @@ def first_heading(pages: DataFrame, keep: list[str], tag: str = "h3") -> DataFra
 
 
 def absolute_url(href: Column, base: Column) -> Column:
-    """Resolve a root-relative or scheme-relative link against its page."""
+    """Resolve a link against its page: one without a scheme, a site, or a path from the root."""
     scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     site = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/(?:[^?#]*/)?)", 1)
+    page = F.regexp_extract(base, "^([^?#]*)", 1)
     return (
-        F.when(href.startswith("//"), F.concat(scheme, href))
+        F.when((href == "") | href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("/"), F.concat(site, href))
-        .otherwise(href)
+        .when(href.startswith("?") | href.startswith("#"), F.concat(page, href))
+        .otherwise(F.concat(F.when(folder == "", F.concat(site, F.lit("/"))).otherwise(folder), href))
     )
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Number of folds, share of the training part, smallest usable parts.
@@ -28,21 +27,55 @@ def group_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count_distinct(vendor_group(F.col("vendor"))).alias("n_groups"))
 
 
+def dealing_order(loads: list[int], size: int) -> list[tuple[int, list[int]]]:
+    """How items of one size go to the lightest fold, one after the other.
+
+    A list of ``(first, folds)``: from item ``first`` on, the items go round
+    ``folds``. An item makes a fold heavier by ``size``, so fold f is the lightest
+    at the weights ``loads[f]``, ``loads[f] + size``, ...; ordered by weight (ties:
+    the smaller fold) these are levels of ``size``, and a fold takes part in all
+    levels from its own on.
+    """
+    order = sorted(range(len(loads)), key=lambda f: loads[f] // size)
+    out, first, level = [], 0, loads[order[0]] // size
+    for active in range(1, len(loads) + 1):
+        if active < len(loads) and loads[order[active]] // size == level:
+            continue
+        out.append((first, sorted(order[:active], key=lambda f: (loads[f] % size, f))))
+        if active < len(loads):
+            to = loads[order[active]] // size
+            first, level = first + active * (to - level), to
+    return out
+
+
+def _after(loads: list[int], size: int, items: int) -> list[int]:
+    """The loads after dealing out ``items`` of one size."""
+    out, stages = list(loads), dealing_order(loads, size)
+    for (first, folds), (end, _) in zip(stages, [*stages[1:], (items, [])]):
+        dealt = max(min(end, items) - first, 0)
+        for k, fold in enumerate(folds):
+            out[fold] += size * ((dealt - k + len(folds) - 1) // len(folds))
+    return out
+
+
 def vendor_folds(df: DataFrame, max_folds: int = MAX_FOLDS) -> DataFrame:
-    """``vendor, fold``: largest vendors first, each to the lightest fold.
+    """``vendor, fold``: largest vendors first (ties by name), each to the lightest fold.
 
-    Vendor sizes are aggregated on the executors and streamed in order; the
-    driver keeps one running total per fold and one line per vendor.
+    The driver sees how many vendors there are of every size, no vendor: vendors
+    of one size go round the folds in an order that follows from the loads
+    before them, so a vendor's fold follows from its rank inside its size.
     """
-    sizes = df.groupBy(vendor_group(F.col("vendor")).alias("vendor")).count()
-    ordered = sizes.orderBy(F.col("count").desc(), "vendor").toLocalIterator()
-    lightest = [(0, fold) for fold in range(max_folds)]
-    assigned = []
-    for row in ordered:
-        rows, fold = heapq.heappop(lightest)
-        assigned.append((row["vendor"], fold))
-        heapq.heappush(lightest, (rows + row["count"], fold))
-    return df.sparkSession.createDataFrame(assigned, "vendor string, fold int")
+    sizes = df.groupBy(vendor_group(F.col("vendor")).alias("vendor")).agg(F.count("*").alias("_size"))
+    loads, dealt = [0] * max_folds, []
+    for row in sizes.groupBy("_size").agg(F.count("*").alias("n")).orderBy(F.desc("_size")).toLocalIterator():
+        dealt.append((row["_size"], dealing_order(loads, row["_size"])))
+        loads = _after(loads, row["_size"], row["n"])
+    orders = df.sparkSession.createDataFrame(dealt, "_size long, _order array<struct<first:long,folds:array<int>>>")
+    ranked = sizes.withColumn("_rank", F.row_number().over(Window.partitionBy("_size").orderBy("vendor")) - 1)
+    now = F.element_at(F.filter("_order", lambda s: s["first"] <= F.col("_rank")), -1)
+    place = F.pmod(F.col("_rank") - F.col("_now.first"), F.size("_now.folds")).cast("int")
+    met = ranked.join(orders, "_size").withColumn("_now", now)
+    return met.select("vendor", F.get("_now.folds", place).alias("fold"))
 
 
 @dataclass(frozen=True)

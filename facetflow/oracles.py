@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from facetflow.catalog import AS_OF, LIMITS, RERUN
+from facetflow.catalog import AS_OF, LIMITS, NUDGE, RERUN, stored_coefficient
 from facetflow.functions import features
-from facetflow.operators import model, quality, titles
+from facetflow.operators import model, quality, splits, titles
 from facetflow.schema import LISTING_COLUMNS, LISTING_SCHEMA
 
 _FROM = """from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
@@ -251,19 +251,60 @@ where {condition} group by t.vendor"""
 _SPLIT = f"""{_LOG_ROWS}, s as (select *, row_number() over (order by date_seen, md5(source_url)) - 1 as pos,
 cast(floor((select count(*) from t) * 0.8) as bigint) as cut from t where date_seen is not null)"""
 
-_RAMP = "least(greatest((carat - 1.0) / 0.5, 0), 1)"
-_TERMS = {
-    "intercept": "1.0",
-    "length_mm": "coalesce(length_mm, 0)",
-    "length_mm_missing": "case when length_mm is null then 1.0 else 0.0 end",
-    "carat_ramp_1.0_1.5": _RAMP,
+_RAMPS = list(zip(model.RAMP_EDGES, model.RAMP_EDGES[1:]))
+_NUMBERS = {
+    "intercept": "1e0",
+    **{k: v for m in model.MEASURES for k, v in ((m, f"coalesce({m}, 0e0)"), (f"{m}_missing", f"case when {m} is null then 1e0 else 0e0 end"))},
+    **{f"carat_ramp_{a}_{b}": f"least(greatest((carat - {a}e0) / {b - a}e0, 0e0), 1e0)" for a, b in _RAMPS},
     "carat_ln": "ln(carat)",
-    "log_price": "log_price",
 }
-_GRAM = " union all ".join(
-    f"select vendor, '{a}' as left_term, '{b}' as right_term, round(sum(({x}) * ({y})), 3) as value from t group by vendor"
-    for n, (a, x) in enumerate(_TERMS.items())
-    for b, y in list(_TERMS.items())[n:]
+_TERMS = _NUMBERS | {"log_price": "log_price"}
+
+
+def _level(grade: str) -> str:
+    return f"'{grade}=' || coalesce({grade}, '<MISSING>')"
+
+
+def _unpivoted(group: str, sums: dict[tuple[str, str], str]) -> str:
+    """One row for every pair of terms of a grouped select."""
+    rows = ", ".join(f"{{'l': {left}, 'r': {right}, 'v': {value}}}" for (left, right), value in sums.items())
+    return f"select vendor, unnest([{rows}]) as c from t group by vendor{group}"
+
+
+_TERM_LIST = list(_TERMS.items())
+_GRAM_PARTS = [
+    _unpivoted("", {(f"'{a}'", f"'{b}'"): f"sum(({x}) * ({y}))" for n, (a, x) in enumerate(_TERM_LIST) for b, y in _TERM_LIST[n:]})
+]
+for _n, _g in enumerate(features.CATEGORICAL):
+    _beside = {("'intercept'", _level(_g)): "count(*) * 1e0", (_level(_g), _level(_g)): "count(*) * 1e0"}
+    _beside |= {(_level(_g), f"'{b}'"): f"sum({y})" for b, y in _TERM_LIST[1:]}
+    _GRAM_PARTS.append(_unpivoted(f", {_g}", _beside))
+    for _h in features.CATEGORICAL[_n + 1 :]:
+        _GRAM_PARTS.append(_unpivoted(f", {_g}, {_h}", {(_level(_g), _level(_h)): "count(*) * 1e0"}))
+_GRAM = f"""select vendor, c.l as left_term, c.r as right_term, round(c.v + {NUDGE}, 2) as value
+from ({" union all ".join(_GRAM_PARTS)}) where round(c.v + {NUDGE}, 2) <> 0"""
+
+
+def _predicted(shift: str = "0e0") -> str:
+    """The stored model in SQL; ``shift`` moves the intercept."""
+    grades = [f"((length({_level(g)}) * 7) % 11 - 5) / 100e0" for g in features.CATEGORICAL]
+    numbers = [f"({x}) * {stored_coefficient(name)!r}e0" for name, x in _NUMBERS.items()]
+    return " + ".join([*numbers, shift, *grades])
+
+
+#: Rows with what the stored models and the baselines of the others predict, per fold; every vendor is a fold.
+_CV = f"""{_LOG_ROWS}, f as (select vendor, row_number() over (order by count(*) desc, vendor) - 1 as fold from t group by vendor),
+g as (select distinct vendor as v from t),
+m as (select g.v, t.carat_bucket, t.intensity, median(t.log_price) as m from g join t on t.vendor <> g.v group by all),
+o as (select g.v, median(t.log_price) as m from g join t on t.vendor <> g.v group by all),
+d as (select t.*, f.fold, {_predicted("f.fold / 50e0")} as pred, {_predicted("length(t.vendor) / 50e0")} as vendor_pred from t join f on f.vendor = t.vendor),
+e as (select d.*, coalesce(m.m, o.m) as base from d join o on o.v = d.vendor
+left join m on m.v = d.vendor and m.carat_bucket = d.carat_bucket and m.intensity = d.intensity)"""
+_FOLDS = """select fold, count(*) as rows, avg(abs(log_price - pred)) as mae_log,
+1 - sum((log_price - pred) ** 2) / (var_pop(log_price) * count(*)) as r2, avg(abs(log_price - base)) as baseline_mae_log from e group by fold"""
+_CONTRIBUTIONS = " union all ".join(
+    [f"select {_level(g)} as feature, abs(((length({_level(g)}) * 7) % 11 - 5) / 100e0) * 2 * (count(*) / n) * (1 - count(*) / n) as size from t, s group by {g}, n" for g in features.CATEGORICAL]
+    + [f"select '{name}', {abs(stored_coefficient(name))!r}e0 * avg(abs(({x}) - (select avg({x}) from t))) from t" for name, x in _NUMBERS.items() if name != "intercept"]
 )
 
 _SPARSE = " + ".join(f"({c} is null)::int" for c in features.SPARSE_FIELDS)
@@ -323,6 +364,8 @@ ORACLES: dict[str, str] = {
         coalesce(fall >= 0.2, false) as is_potentially_undervalued from ({_MISPRICED})""",
     "price_stats": f"""{_H} select listing_key, cast(count(*) as bigint) as count, round(stddev_samp(price_usd), 6) as std,
         round(median(price_usd), 6) as median from h group by listing_key""",
+    "mispriced_ranking": f"""{_H} select cast(row_number() over (order by coalesce(fall >= 0.2, false) desc, z asc nulls last, listing_key) as bigint) as rank,
+        listing_key from ({_MISPRICED}) qualify rank <= 100""",
     "flag_counts": f"""{_H} select cast(count(*) as bigint) as examined, cast(count(case when abs(z) >= 2.5 then 1 end) as bigint) as mispriced,
         cast(count(case when fall >= 0.2 then 1 end) as bigint) as undervalued from ({_MISPRICED})""",
     "title_parse_table": f"""{_R} select source_url, {_groups("title", _TABLE_RE, ["lab", "carat", "intensity", "color", "clarity", "shape"])}
@@ -338,6 +381,8 @@ ORACLES: dict[str, str] = {
     "measurements": f"""{_R} select source_url, case when {_MEASURED} then width_mm end as length_mm,
         case when {_MEASURED} then depth_mm end as width_mm, case when {_MEASURED} then table_pct end as depth_mm,
         case when {_MEASURED} then {_ROUND3.format("width_mm", "depth_mm")} end as l_w_ratio from r""",
+    "modifier_words": f"""{_R} select source_url, word, case when lower(word) in ('no overtone', 'none', 'n/a') then '' else word end as modifier
+        from (select source_url, (['No Overtone', 'none', 'N/A', 'Brownish', ' None ', 'no  overtone', ''])[1 + cast(table_pct as int) % 7] as word from r)""",
     "price_text": f"{_R} select source_url, floor(price_usd) as price_usd from r",
     "url_keys": f"""{_R}, u as (select source_url from r union all select url from pages)
         select source_url, case when contains(source_url, '/products/') then split_part(source_url, '/products/', 2) else 'lb_' end as slug,
@@ -350,6 +395,11 @@ ORACLES: dict[str, str] = {
         from pages where regexp_matches(html, '(?s)<h1>.*?</h1>')""",
     "page_block_counts": """select page_id, cast(len(regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>|<!--.*?-->', '', 'g'),
         '<p[ >]')) as bigint) as blocks from pages where regexp_matches(html, '<p[ >]')""",
+    "page_blocks": """with v as (select page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g') as page from pages),
+        b as (select page_id, unnest(regexp_extract_all(regexp_replace(page, '(?i)(</?(?:address|article|aside|blockquote|body|details|div|dl|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)[\\s/>])', chr(1) || '\\1', 'g') || chr(1),
+        '(?is)<p(?:\\s[^>]*)?>([^\\x01]*)\\x01', 1)) as content from v),
+        t as (select page_id, replace(replace(replace(replace(replace(regexp_replace(content, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&') as text from b)
+        select page_id, cast(count(*) as bigint) as blocks, cast(sum(length(regexp_replace(text, '^[\\s\\xa0]+|[\\s\\xa0]+$', '', 'g'))) as bigint) as characters from t group by page_id""",
     "first_links": f"""select href, max(page_id) as page_id from ({_ANCHORS}) where contains(href, '/') and regexp_matches(text, '(?i)[a-z]')
         group by href order by href limit 50""",
     "page_sequence": f"{_sequence('(?i)ch')} select * from kept",
@@ -380,6 +430,12 @@ ORACLES: dict[str, str] = {
         select feature, false as monotone from l union all select 'intercept', false union all
         select unnest([{", ".join(f"'{m}', '{m}_missing'" for m in model.MEASURES)}]), false union all
         select unnest([{", ".join(f"'carat_ramp_{a}_{b}'" for a, b in zip(model.RAMP_EDGES, model.RAMP_EDGES[1:]))}, 'carat_ln']), true""",
+    "model_contract": f"""{_LOG_ROWS}, l as ({" union all ".join(f"select distinct {k} as g, coalesce({c}, '<MISSING>') as level, {_level(c)} as feature from t" for k, c in enumerate(features.CATEGORICAL))}),
+        n as (select unnest([{", ".join(f"'{n}'" for n in list(_NUMBERS)[1:])}]) as feature, unnest(range({len(_NUMBERS) - 1})) as k),
+        c as (select 'intercept' as feature, 0 as position union all select feature, row_number() over (order by g, level) from l
+        union all select feature, (select count(*) from l) + 1 + k from n)
+        select feature, cast(position as bigint) as position, starts_with(feature, 'carat_') as monotone, true as not_negative,
+        true as stationary, true as complementary from c""",
     "encoded_levels": f"""{_LOG_ROWS}, l as ({" union all ".join(f"select '{c}' as feature, coalesce({c}, '<MISSING>') as level from t" for c in features.CATEGORICAL)}),
         c as (select feature, level, cast(count(*) as bigint) as rows from l group by all)
         select feature, level, rows, cast(row_number() over (partition by feature order by level) as bigint) as code from c""",
@@ -402,14 +458,58 @@ ORACLES: dict[str, str] = {
         round(avg(abs(log_price - coalesce(m, (select median(log_price) from e)))), 6) as baseline_mae_log
         from l left join m using (carat_bucket, intensity)""",
     "gram_matrix": f"{_LOG_ROWS} {_GRAM}",
+    "training_gates": f"""{_CV}, x as (select 'quality' as gate, count(case when price_usd is not null and carat is not null then 1 end) / count(*) as value, 0.9 as minimum from p
+        union all select 'model', avg(baseline_mae_log) - avg(mae_log), 0.0 from ({_FOLDS}))
+        select gate, round(value, 6) as value, cast(minimum as double) as minimum, value >= minimum as passes from x""",
+    "cv_metrics": f"""{_CV} select cast(fold as bigint) as fold, cast(rows as bigint) as rows, round(mae_log, 6) as mae_log, round(r2, 6) as r2,
+        round(baseline_mae_log, 6) as baseline_mae_log from ({_FOLDS})""",
+    "cv_summary": f"""{_CV} select round(avg(mae_log), 6) as cv_mae_log_mean, round(avg(r2), 6) as cv_r2_mean,
+        round(avg(baseline_mae_log), 6) as baseline_cv_mae_log_mean, round(avg(baseline_mae_log) - avg(mae_log), 6) as cv_mae_improvement_vs_baseline,
+        'ok' as status from ({_FOLDS})""",
+    "vendor_holdout": f"""{_CV} select vendor, cast(count(*) as bigint) as test_rows, round(avg(abs(log_price - vendor_pred)), 6) as model_mae_log,
+        round(avg(abs(log_price - base)), 6) as baseline_mae_log from e group by vendor
+        having count(*) >= {splits.MIN_VENDOR_TEST_ROWS} and (select count(*) from e) - count(*) >= {splits.MIN_VENDOR_TRAIN_ROWS}""",
+    "time_holdout": f"""{_SPLIT}, e as (select * from s where pos < cut), l as (select * from s where pos >= cut),
+        m as (select carat_bucket, intensity, median(log_price) as m from e group by all)
+        select cast(min(date_seen) as varchar) as cutoff_date, cast(count(*) as bigint) as test_rows,
+        round(avg(abs(log_price - coalesce(m, (select median(log_price) from e)))), 6) as baseline_mae_log,
+        round(avg(abs(log_price - ({_predicted("0.05e0")}))), 6) as model_mae_log
+        from l left join m using (carat_bucket, intensity)""",
+    "attribution": f"""{_LOG_ROWS}, s as (select count(*) as n from t), c as ({_CONTRIBUTIONS})
+        select feature, round(size, 6) as mean_abs_contribution, row_number() over (order by round(size, 12) desc, feature) as rank from c""",
+    "metrics_record": f"""{_CV} select cast((select count(*) from t) as bigint) as n_samples, cast(count(*) as bigint) as n_groups,
+        cast((select {" + ".join(f"count(distinct coalesce({c}, ''))" for c in features.CATEGORICAL)} from t) + {len(_NUMBERS)} as bigint) as feature_count,
+        'ok' as status, round(avg(baseline_mae_log) - avg(mae_log), 6) as cv_mae_improvement_vs_baseline,
+        (select string_agg(vendor, ',' order by vendor) from f) as vendors,
+        (select cast(date_seen as varchar) from (select date_seen, row_number() over (order by date_seen) - 1 as pos from t where date_seen is not null)
+        where pos = cast(floor((select count(*) from t) * 0.8) as bigint)) as cutoff_date from ({_FOLDS})""",
+    "scored": f"""{_CV}, b as (select quantile_cont(abs(log_price - pred), 0.9) as high from e),
+        r as (select source_url, cast({_SPARSE} as bigint) as missing_count, ({_SPARSE}) >= 4 as reject,
+        case when ({_SPARSE}) < 4 and carat > 0 then {_predicted()} end as pred from p)
+        select source_url, missing_count, reject, round(exp(pred), 2) as predicted_price, round(exp(pred - high), 2) as price_low,
+        round(exp(pred + high), 2) as price_high from r, b""",
     "reject_rule": f"""with {_standard("p", _PRICED)} select source_url, cast({_SPARSE} as bigint) as missing_count, ({_SPARSE}) >= 4 as reject from p""",
-    "uncertainty_policy": f"""{_LOG_ROWS}, m as (select carat_bucket, intensity, median(log_price) as m from t group by all),
-        e as (select abs(log_price - m) as e from t join m using (carat_bucket, intensity))
-        select cast(4 as bigint) as reject_missing, round((select quantile_cont(e, 0.9) from e), 6) as high_error,
-        round((select quantile_cont(e, 0.75) from e), 6) as medium_error,
+    "uncertainty_policy": f"""{_CV}, x as (select abs(log_price - pred) as e from e)
+        select cast(4 as bigint) as reject_missing, round((select quantile_cont(e, 0.9) from x), 6) as high_error,
+        round((select quantile_cont(e, 0.75) from x), 6) as medium_error,
         round((select quantile_cont(cast({_SPARSE} as double), 0.5) from t), 6) as missing_p50,
         round((select quantile_cont(cast({_SPARSE} as double), 0.9) from t), 6) as missing_p90""",
     "csv_scan": f"""{_N} select * replace ({", ".join(f"nullif({c}, '') as {c}" for c in _BLANK)}) from (select {_CANON} from n)""",
+    "csv_quoted_breaks": f"""{_R} select source_url, carat, nullif(([concat('thin', chr(10), 'to "thick"'), 'a, b', concat('x', chr(10), chr(10), 'y'), 'plain', '"'])[1 + cast(table_pct as int) % 5], '') as girdle,
+        cast(null as varchar) as culet, cert_number from r""",
+    "merged_inputs": f"""{_N} select * replace (case when cast(right(split_part(table_pct::varchar, '.', 1), 1) as int) % 2 = 1 then null else culet end as culet,
+        {", ".join(f"case when cast(right(split_part(table_pct::varchar, '.', 1), 1) as int) % 2 = 1 then nullif({c}, '') else {c} end as {c}" for c in _BLANK if c != "culet")})
+        from (select {_CANON} from n)""",
+    "run_feeds": """with c as (select lower(r_name) as feed, r_name as vendor, cast(count(*) as bigint) as rows from lineitem join orders on l_orderkey = o_orderkey
+        join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by all)
+        select feed, 'read' as status, rows, vendor as first_vendor from c where feed in ('africa', 'asia', 'europe')
+        union all select 'import:partner', 'read', rows, 'partner' from c where feed = 'america'
+        union all values ('placeholder', 'empty', 0, null), ('absent', 'absent', 0, null), ('table', 'unsupported', 0, null), ('import:nobody', 'absent', 0, null)""",
+    "harvest_batch": _R + " " + _ASSEMBLED_TABLE,
+    "harvest_log": f"""{_R} select vendor, sku_or_stock as listing_key, source_url,
+        coalesce(price_usd <> 0 and carat <> 0, false) as parse_ok, {_PARSED_FIELDS} as parsed_fields from ({_ASSEMBLED_TABLE})""",
+    "harvest_counts": f"""{_R} select 'table' as feed, {_MEASURES}, cast(count(case when price_usd <> 0 and carat <> 0 then 1 end) as bigint) as parsed
+        from ({_ASSEMBLED_TABLE}) union all select 'placeholder', 0, 0.0, 0.0, 0.0, 0.0, 0""",
     "import_scan": f"""{_R} select case when table_pct = 51 then 'partner' else vendor end as vendor, cast(count(*) as bigint) as rows from r group by 1""",
     "anomaly_report": f"""{_H} select vendor, listing_key, round(price_usd, 6) as price_usd, round(median, 6) as median, round(z, 6) as z_score,
         coalesce(fall >= 0.2, false) as is_potentially_undervalued from ({_MISPRICED})""",
@@ -418,7 +518,8 @@ ORACLES: dict[str, str] = {
     "history_stream": f"{_H} {_GROWTH}",
     "history_rerun_empty": f"{_H} select run_id, count(*) as rows from h where run_id <> '{RERUN}' group by run_id",
     "history_batch_then_stream": f"{_H} select run_id, count(*) as rows from h group by run_id",
-    "merge_clean": f"""{_N} select cast(count(*) as bigint) as row_count,
+    "merge_clean": f"""{_N} select cast((select count(*) from n) as bigint) as rows_read, cast(count(*) as bigint) as rows_kept,
+        cast(count(*) as bigint) as row_count,
         round(count(case when price_usd is not null and carat is not null then 1 end) / count(*), 6) as joint_parse_rate,
         round(count(carat) / count(*), 6) as carat from (select *, {_LATEST} as rn from (select *, {_KEYS} from n)) where rn = 1""",
     "run_summary": f"""{_N}, k as (select *, case when length({_DIGITS}) between 6 and 12 then 'CERT:' || coalesce(cert_lab, 'UNK') || ':' || {_DIGITS}

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from facetflow.operators import anomaly, gates, quality, runs
-from facetflow.operators.normalize import normalize, union_by_name
 from facetflow.session import cut
 from facetflow.sources import readers, writers
 from facetflow.sources.readers import Skipped
@@ -22,22 +21,14 @@ def collect_feeds(
     ``import:<alias>`` reads a partner file; any other token must be a batch
     that a harvest wrote under ``feed=<token>``.
     """
-    frames, skipped = [], []
+    feeds = {}
     for token in tokens:
-        alias = readers.import_alias(token)
-        if alias is not None:
-            frame = normalize(readers.read_import(spark, alias, import_folder))
-        else:
-            path = f"{raw_path}/feed={readers.feed_folder(token)}"
-            found, missing = readers.read_run(spark, {token: f"{path}/*.parquet"})
-            skipped += missing
-            if found is None:
-                continue
-            frame = found.drop("feed")
-        frames.append(frame.withColumn("feed", F.lit(token)))
-    if not frames:
-        return readers.header_only(spark).withColumn("feed", F.lit("")), skipped
-    return union_by_name(frames), skipped
+        own = import_folder if readers.import_alias(token) is not None else f"{raw_path}/feed={readers.feed_folder(token)}/*.parquet"
+        feeds[token] = own
+    rows, skipped = readers.read_run(spark, feeds)
+    if rows is None:
+        rows = readers.header_only(spark).withColumn("feed", F.lit(""))
+    return rows, skipped
 
 
 def run(
@@ -80,6 +71,7 @@ def run(
             "skipped_feeds": F.array(
                 *[F.struct(F.lit(f).alias("feed"), F.lit(r).alias("reason")) for f, r in outcome]
             ).cast("array<struct<feed:string,reason:string>>"),
+            "feed_outcomes": _outcomes(tokens or [], outcome),
             "output_dir": F.lit(output),
             "history_path": F.lit(history_path),
         }
@@ -91,6 +83,17 @@ def run(
     return summary
 
 
+def _outcomes(tokens: list[str], skipped: list[tuple[str, str]]) -> Column:
+    """``feed, status, rows`` of every requested feed, from the quality of the feeds."""
+    reasons = dict(skipped)
+    parts = []
+    for token in tokens:
+        rows = F.coalesce(F.col("feed_quality")[token]["rows"], F.lit(0)).cast("long")
+        status = F.lit(reasons[token]) if token in reasons else F.when(rows > 0, readers.READ).otherwise(readers.EMPTY)
+        parts.append(F.struct(F.lit(token).alias("feed"), status.alias("status"), rows.alias("rows")))
+    return F.array(*parts).cast("array<struct<feed:string,status:string,rows:bigint>>")
+
+
 def summarize(
     history: DataFrame,
     this_run: DataFrame,

@@ -171,6 +171,12 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Words that stand for no modifier, and some that are one.
+MODIFIERS = "element_at(array('No Overtone', 'none', 'N/A', 'Brownish', ' None ', 'no  overtone', ''), 1 + cast(table_pct as int) % 7)"
+# Texts that need quotes in CSV: line breaks, quotes, a comma.
+QUOTED = "element_at(array(concat('thin', chr(10), 'to \"thick\"'), 'a, b', concat('x', chr(10), chr(10), 'y'), 'plain', '\"'), 1 + cast(table_pct as int) % 5)"
+
+
 def spec_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source_url, table_lines, label_lines`` of every listing.
 

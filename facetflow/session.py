@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app_name: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetflow.functions.keys import listing_key
@@ -88,5 +88,7 @@ def write_anomalies(mispriced: DataFrame, path: str) -> None:
 
 
 def write_attribution(attribution: DataFrame, path: str) -> None:
-    ranked = attribution.orderBy(F.col("mean_abs_contribution").desc(), "feature")
+    """The columns of a model by importance, ``rank`` from 1; one row per column, so one window orders them."""
+    order = Window.orderBy(F.col("mean_abs_contribution").desc(), "feature")
+    ranked = attribution.withColumn("rank", F.row_number().over(order)).orderBy("rank")
     ranked.write.mode("overwrite").option("header", True).csv(path)

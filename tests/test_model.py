@@ -1,4 +1,7 @@
+import heapq
+import itertools
 import math
+import random
 import statistics
 
 import numpy as np
@@ -125,7 +128,7 @@ def test_solver_meets_its_conditions():
     y = x[:, 1] - 2 * x[:, 4] + 3 * x[:, 5] + 0.1 * rng.normal(size=400)
     z = np.column_stack([x, y])
     bound = [False] * 4 + [True] * 4 + [True, False]
-    beta = model.solve(z.T @ z, bound)
+    beta = model.solve(model.Cells.of_dense(z.T @ z), bound)
     assert (beta[4:9] >= 0).all() and beta[4] == 0 and beta[8] == 0
     scale = np.sqrt((x**2).mean(axis=0))
     penalty = np.where(np.arange(10) == 0, 0, model.RIDGE) * scale**2
@@ -137,20 +140,97 @@ def test_solver_meets_its_conditions():
             assert abs(gradient[j]) < 1e-8
 
 
+def dense(design, pdf):
+    """The rows of the design, written out."""
+    x = np.zeros((len(pdf), len(design.columns)))
+    for r, row in enumerate(pdf.to_dict("records")):
+        at = dict.fromkeys(design.columns, 0.0) | {"intercept": 1.0}
+        for g in model.CATEGORICAL:
+            level = row[g] if isinstance(row[g], str) else features.MISSING
+            if f"{g}={level}" in at:
+                at[f"{g}={level}"] = 1.0
+        for m in model.MEASURES:
+            gap = row[m] is None or math.isnan(row[m])
+            at[m], at[f"{m}_missing"] = (0.0, 1.0) if gap else (row[m], 0.0)
+        for low, high in design.ramps:
+            at[f"carat_ramp_{low}_{high}"] = min(max((row["carat"] - low) / (high - low), 0.0), 1.0)
+        at["carat_ln"] = math.log(row["carat"])
+        x[r] = [at[c] for c in design.columns]
+    return x
+
+
 def test_cross_products_and_prediction_agree_with_numpy(rows):
     design = model.fit_design(rows)
-    pdf = rows.select("vendor", *design.codes(), *model.MEASURES, "carat", "log_price").toPandas()
-    z = np.column_stack([design.matrix(pdf), pdf["log_price"]])
-    got = model.collect_matrix(model.cross_products(rows, design, []), design)
-    assert np.allclose(got, z.T @ z)
-    fitted = model.fit(got, design)
+    pdf = rows.select(*model.CATEGORICAL, *model.MEASURES, "carat", "log_price").toPandas()
+    z = np.column_stack([dense(design, pdf), pdf["log_price"]])
+    cells = model.collect_cells(model.cross_products(rows, design, []), design)
+    assert np.allclose(cells.dense(), z.T @ z) and (cells.value != 0).all()
+    fitted = model.fit(cells, design)
     spark_mean = rows.agg(F.avg(fitted.predict()), F.stddev_pop(fitted.predict())).first()
     expected = z[:, :-1] @ np.array(fitted.coefficients)
     assert tuple(spark_mean) == pytest.approx((expected.mean(), expected.std()))
+    means, n = model.column_means(rows, design)
+    assert n == len(z) and np.allclose(means, z[:, :-1].mean(axis=0)) and np.allclose(means, fitted.means)
+
+
+def test_dividing_out_a_grade_and_starting_elsewhere_change_nothing(rows):
+    design = model.fit_design(rows)
+    cells = model.collect_cells(model.cross_products(rows, design, []), design)
+    plain = model.solve(cells, design.monotone)
+    assert np.allclose(plain, model.solve(cells, design.monotone, block=design.widest), atol=1e-8)
+    start = np.abs(np.random.default_rng(1).normal(size=len(plain)))
+    assert np.allclose(plain, model.solve(cells, design.monotone, block=design.widest, start=start), atol=1e-8)
+
+
+def test_ten_thousand_levels(spark, rows):
+    n = F.pmod(F.xxhash64("source_url"), F.lit(10_000))
+    many = rows.withColumn("shape", F.concat(F.lit("Shape "), n.cast("string")))
+    more = spark.range(10_000).select(F.concat(F.lit("Shape "), F.col("id").cast("string")).alias("shape"), F.lit(1.0).alias("carat"), F.lit(7.0).alias("log_price"))
+    many = many.unionByName(more, allowMissingColumns=True)
+    design = model.fit_design(many)
+    assert len(design.levels["shape"]) == 10_000 and design.widest == (design.offset("shape"), design.offset("shape") + 10_000)
+    fitted = model.fit(model.collect_cells(model.cross_products(many, design, []), design), design)
+    judged = model.optimality(many, fitted).where("not (not_negative and stationary and complementary)")
+    assert judged.count() == 0
+    wrong = model.Model(design, [c + 0.01 for c in fitted.coefficients], fitted.means, fitted.rows)
+    assert model.optimality(many, wrong).where("not stationary").count() > 0
+
+
+def greedy(sizes, folds):
+    lightest, out = [(0, f) for f in range(folds)], []
+    for size in sizes:
+        load, fold = heapq.heappop(lightest)
+        out.append(fold)
+        heapq.heappush(lightest, (load + size, fold))
+    return out
+
+
+def test_dealing_by_size_is_greedy():
+    r = random.Random(4)
+    for _ in range(300):
+        folds = r.randint(1, 6)
+        sizes = sorted((r.choice([1, 1, 2, 3, 7, 50, 1000]) for _ in range(r.randint(0, 60))), reverse=True)
+        loads, got = [0] * folds, []
+        for size, group in itertools.groupby(sizes):
+            items = len(list(group))
+            stages = splits.dealing_order(loads, size)
+            for k in range(items):
+                first, order = [s for s in stages if s[0] <= k][-1]
+                got.append(order[(k - first) % len(order)])
+            loads = splits._after(loads, size, items)
+        assert got == greedy(sizes, folds)
+
+
+def test_folds_of_many_equal_vendors(spark):
+    df = spark.range(200_000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("vendor"))
+    df = df.unionByName(spark.range(90_000).select(F.lit("big").alias("vendor")))
+    got = {r["vendor"]: r["fold"] for r in splits.vendor_folds(df).collect()}
+    names = ["big", *sorted(v for v in got if v != "big")]
+    assert [got[v] for v in names] == greedy([90_000] + [1] * 200_000, 5)
 
 
 def test_prediction_never_falls_with_weight(spark, rows, checked):
-    fitted = model.fit(checked.sums.total, checked.design)
+    fitted = checked.sums.whole
     some = rows.limit(20).drop("carat").crossJoin(spark.range(1, 4000).select((F.col("id") / 100).alias("carat")))
     step = some.select("source_url", "carat", fitted.predict().alias("p"))
     before = F.lag("p").over(Window.partitionBy("source_url").orderBy("carat"))
@@ -169,12 +249,35 @@ def test_validation_beats_the_baseline(checked):
 
 def test_leave_one_out_sums_equal_a_refit(rows, checked):
     folds = {r["vendor"]: r["fold"] for r in checked.folds.collect()}
-    scoring = {r["fold"]: r["scoring"] for r in validation.fold_coefficients(checked.sums, checked.folds).collect()}
+    scoring = {r["fold"]: r["scoring"] for r in validation.fold_coefficients(rows.sparkSession, checked.sums).collect()}
     vendor, fold = next(iter(folds.items()))
     rest = rows.where(F.col("vendor") != vendor)
-    sums = model.collect_matrix(model.cross_products(rest, checked.design, []), checked.design)
+    sums = model.collect_cells(model.cross_products(rest, checked.design, []), checked.design)
     refit = model.scoring_vector(checked.design, model.solve(sums, checked.design.monotone))
     assert np.allclose(scoring[fold], refit, atol=1e-6)
+    held = checked.sums.vendor_models(checked.rows, validation.eligible_vendors(checked.rows)).collect()
+    assert len(held) == 5
+    assert np.allclose(next(r["scoring"] for r in held if r["vendor"] == vendor), refit, atol=1e-6)
+
+
+def test_vendors_without_enough_rows_are_not_held_out(spark):
+    sizes = {"a": 49, "b": 10, "c": 9, "Unknown": 40}
+    df = spark.createDataFrame([(v,) for v, n in sizes.items() for _ in range(n)], "vendor string")
+    assert sorted(r[0] for r in validation.eligible_vendors(df).collect()) == ["a", "b"]
+    assert validation.eligible_vendors(df.where("vendor = 'a'")).count() == 0
+
+
+def test_stored_models_are_validated_without_training(spark, rows):
+    checked = train.validate(rows, stored=catalog.stored_models)
+    assert isinstance(checked.sums, validation.Stored) and checked.per_fold.count() == 5
+    assert [k for k, _ in checked.sums.fold_models()] == [0, 1, 2, 3, 4]
+    held = [r["vendor"] for r in checked.vendor_holdout.collect()]
+    assert held == sorted(held) and len(held) == 5
+    record = train.metrics_record(checked, checked.cv, checked.sums.whole).first()
+    assert record["n_samples"] == rows.count() and record["time_holdout"]["model_mae_log"] > 0
+    broken = validation.Stored(checked.design, checked.sums.table.where("feature <> 'carat_ln'"), checked.sums.means, 1)
+    with pytest.raises(ValueError):
+        broken.whole
 
 
 def test_one_vendor_skips_cross_validation(rows):
@@ -190,38 +293,105 @@ def test_policy_and_scoring(spark, rows, checked):
     assert rules.medium_error == pytest.approx(np.percentile(errors, 75))
     assert report.first()["reject_if_missing_feature_count_ge"] == 4
     sparse = rows.limit(3).withColumns({c: F.lit(None).cast("double") for c in ("table_pct", "depth_pct", "length_mm", "width_mm")})
-    fitted = model.fit(checked.sums.total, checked.design)
+    fitted = checked.sums.whole
     rejected = policy.score(sparse, fitted, rules).collect()
     assert all(r["reject"] and r["predicted_price"] is None for r in rejected)
     kept = policy.score(rows, fitted, rules).where("not reject").first()
     assert kept["price_low"] < kept["predicted_price"] < kept["price_high"]
 
 
-def test_bands_of_scored_prices_are_out_of_fold(spark, rows, checked, sf_dir):
-    out = catalog.scored(spark, sf_dir).where("not reject and predicted_price is not null").first()
-    errors = [r[0] for r in checked.residuals.select("abs_error").collect()]
+def test_bands_of_scored_prices_are_out_of_fold(checked):
+    errors = [r[0] for r in checked.errors(checked.sums.whole).select("abs_error").collect()]
+    bands = policy.error_bands(checked.errors(checked.sums.whole)).first()
+    out = policy.score(checked.rows, checked.sums.whole, policy.Policy(bands["p75"], bands["p90"])).where("not reject").first()
     assert math.log(out["price_high"] / out["predicted_price"]) == pytest.approx(np.percentile(errors, 90))
 
 
-def test_two_stage_errors_are_out_of_fold_with_the_default_trees(spark, checked, sf_dir, monkeypatch):
-    fit, calls = residual_trees.fit_residual_trees, []
-
-    def short(rows, fitted, **given):
-        calls.append(({r[0] for r in rows.select("vendor").distinct().collect()}, given))
-        return fit(rows, fitted, iterations=1)
-
-    monkeypatch.setattr(residual_trees, "fit_residual_trees", short)
-    got = {r["vendor"]: r["linear_mae_log"] for r in catalog.two_stage_model(spark, sf_dir).collect()}
-    want = checked.residuals.groupBy("vendor").agg(F.avg("abs_error")).collect()
-    assert got == pytest.approx(dict(map(tuple, want)))
-    folds = {}
-    for vendor, fold in checked.folds.collect():
-        folds.setdefault(fold, set()).add(vendor)
-    assert [(v, g) for v, g in calls] == [(set(got) - folds[k], {}) for k in sorted(folds)]
+def tree_by_hand(bins, residual, depth, kinds, penalty):
+    """Corrections of one tree, grown node by node over lists of rows."""
+    out = np.zeros(len(bins))
+
+    def grow(rows, level):
+        total, n = residual[rows].sum(), len(rows)
+        out[rows] = total / (n + penalty)
+        best = (1e-12, None)
+        for f in range(bins.shape[1]) if level < depth else ():
+            for cut in range(bins[:, f].max() + 1):
+                left = bins[rows, f] == cut if kinds[f] else bins[rows, f] <= cut
+                a, b = rows[left], rows[~left]
+                if len(a) and len(b):
+                    gain = residual[a].sum() ** 2 / (len(a) + penalty) + residual[b].sum() ** 2 / (len(b) + penalty) - total**2 / (n + penalty)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (a, b))
+        if best[1]:
+            grow(best[1][0], level + 1)
+            grow(best[1][1], level + 1)
+
+    grow(np.arange(len(bins)), 0)
+    return out
+
+
+def boosted_by_hand(bins, residual, folds, fold, trees, depth, rate, together, kinds):
+    left, used = residual.copy(), np.flatnonzero(folds != fold)
+    for _ in range(0, trees, together):
+        fitted = tree_by_hand(bins[used], left[used], depth, kinds, 1.0)
+        # All trees of a round are the same without sampling; rows outside learn from their bins.
+        lookup = {tuple(b): v for b, v in zip(bins[used].tolist(), fitted)}
+        left = left - rate * together * np.array([lookup.get(tuple(b), np.nan) for b in bins.tolist()])
+    return left
+
+
+@pytest.mark.parametrize(("depth", "together"), [(1, 1), (3, 2)])
+def test_boosted_residuals_like_a_tree_grown_by_hand(spark, rows, depth, together):
+    small = rows.where("table_pct < 54").select("vendor", "log_price", "carat", *model.CATEGORICAL, *model.MEASURES).limit(400)
+    small = small.withColumns({c: F.lit(None).cast("double") for c in ("length_mm", "width_mm", "depth_mm", "l_w_ratio")})
+    small = small.withColumns({c: F.lit("x") for c in ("shape", "clarity", "intensity")})
+    small = small.withColumn("fold", F.pmod(F.xxhash64("log_price"), F.lit(2)).cast("int"))
+    design = model.fit_design(small)
+    fitted = model.Model(design, [0.1] * len(design.columns), [0.0] * len(design.columns), 400)
+    trees = 4
+    done = residual_trees.boost(small, [(0, fitted), (1, fitted)], trees, depth, 0.2, 1.0, 1.0, together)
+    state = done.state.select("fold", "_bins", "_left", "linear_log_price", "log_price").toPandas()
+    bins = np.array(state["_bins"].tolist())
+    residual = (state["log_price"] - state["linear_log_price"]).to_numpy()
+    kinds = [True] * len(model.CATEGORICAL) + [False] * len(model.MEASURES)
+    for k in (0, 1):
+        want = boosted_by_hand(bins, residual, state["fold"].to_numpy(), k, trees, depth, 0.2, together, kinds)
+        known = ~np.isnan(want)
+        assert known.sum() > 300
+        assert np.allclose(np.array(state["_left"].tolist())[known, k], want[known], atol=1e-9)
+    errors = done.out_of_fold().collect()
+    assert len(errors) == len(state) and all(r["abs_error"] >= 0 for r in errors)
+
+
+def test_trees_lower_the_out_of_fold_error_and_stay_monotone(spark, rows, checked):
+    second = checked.boosted(10, depth=3, rate=0.1)
+    both = second.out_of_fold().agg(F.avg("abs_error"), F.avg(F.abs(F.col("log_price") - F.col("linear_log_price")))).first()
+    assert both[0] < both[1] == pytest.approx(checked.residuals.agg(F.avg("abs_error")).first()[0])
+    some = rows.limit(5).drop("carat").crossJoin(spark.range(1, 300).select((F.col("id") / 10).alias("carat")))
+    scored = residual_trees.predict_in_two_stages(some, checked.sums.whole, second.trees)
+    before = F.lag("predicted_log_price").over(Window.partitionBy("source_url").orderBy("carat"))
+    assert scored.select((F.col("predicted_log_price") - before).alias("d")).agg(F.min("d")).first()[0] >= -1e-9
+    assert scored.where("predicted_log_price <> linear_log_price").count() > 0
+    table = residual_trees.tree_table(spark, second.trees)
+    assert {r[0] for r in table.select("model").distinct().collect()} == {-1, 0, 1, 2, 3, 4}
+    shares = [r["importance"] for r in residual_trees.tree_importance(table).collect()]
+    assert shares and sum(shares) == pytest.approx(1.0)
+
+
+def test_edges_and_rare_levels(spark, rows):
+    edges = residual_trees.measure_edges(rows, 8)
+    seen = sorted({r[0] for r in rows.select("table_pct").collect()})
+    assert edges["table_pct"] == seen[: len(edges["table_pct"])] and edges["l_w_ratio"] == []
+    design = model.fit_design(rows)
+    few = residual_trees.fit_inputs(rows, design, grade_bins=4)
+    assert max(few.bins["shape"]) == 3 and sorted(few.bins["shape"]).count(1) == 1
+    most = rows.groupBy("shape").count().orderBy(F.desc("count"), "shape").first()["shape"]
+    assert few.bins["shape"][design.levels["shape"].index(most)] == 1
 
 
 def test_model_table_round_trip(spark, rows, checked, tmp_path):
-    fitted = model.fit(checked.sums.total, checked.design)
+    fitted = checked.sums.whole
     path = str(tmp_path / "model")
     model.model_table(spark, fitted).write.parquet(path)
     assert model.load_model(spark.read.parquet(path)) == fitted

@@ -1,6 +1,8 @@
-from facetflow.functions import html
+import tree as html
+from facetflow.functions import markup
 from facetflow.operators import assemble, pages
 from facetflow.plans import harvest
+from pyspark.sql import functions as F
 
 CARD = "<div class='wideJewelGridItemContainer--a'>"
 LIST = (
@@ -25,6 +27,42 @@ def test_tree_reading():
     assert html.table_detail("<ul><li>x</ul>", "rows") == []
 
 
+SLOPPY = [
+    "<p>a<p>b<div>c</p>d</div><!-- <p>no --><script>'<p>'</script><p title='>x'>e&amp;<br>f",
+    "<div><p>one <b>two</b></p><p>three</div> tail <p>four",
+    "<pre>x</pre><param><P CLASS=a>upper</P><p/>",
+    "<span>USD</span><span class='a'>x<span> USD 9,900 </span></span>",
+    "<h3>a<h3>b</h3></h3><h3>c &lt;d&gt; &#233;&#x1F600; &nosuch; &copy &amp;amp;</h3>",
+    "", None, "no tags < at all > here", "<!-- open <p>x", "<style><p>y</style><h3>z</h3>",
+]
+
+
+def test_texts_agree_with_the_tree(spark, sf_dir):
+    stored = [r[0] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    df = spark.createDataFrame(list(enumerate([*SLOPPY, *stored])), "i int, html string")
+    for tag in ("p", "h1", "li"):
+        got = {r.i: r.t for r in df.select("i", markup.tag_texts(F.col("html"), tag).alias("t")).collect()}
+        for i, page in enumerate([*SLOPPY, *stored]):
+            assert got[i] == html.tag_texts(page, tag), (tag, page)
+
+
+def test_long_pages_need_no_deep_stack(spark):
+    body = "<p>" + "word " * 20_000 + "</p><div class='mb-1'>" + "<b>x</b>" * 3_000 + "</div>" + "<span>y</span>" * 2_000
+    page = f"<html title='{'a' * 50_000}'>{body}{LABEL}"
+    (row,) = pages.label_details(spark.createDataFrame([("u", page)], "url string, html string")).collect()
+    assert (row["price_usd"], row["cert_lab"], row["lines"]) == (9900.0, "IGI", ["Weight: 2Ct", "Shape: Oval", "Secondary Color: None"])
+
+
+def test_links_are_resolved_like_a_browser(spark):
+    from urllib.parse import urljoin
+
+    hrefs = ["", "/a", "//x/y", "b/c", "?q", "#f", "http://z/1", "mailto:x"]
+    bases = ["https://s.example/list/p?x=/1", "https://s.example", "http://s/"]
+    df = spark.createDataFrame([(h, b) for h in hrefs for b in bases], "h string, b string")
+    for r in df.withColumn("u", pages.absolute_url(F.col("h"), F.col("b"))).collect():
+        assert r.u == (urljoin(r.b, r.h) if r.h else ""), r
+
+
 def test_cards_and_frontier(spark):
     df = spark.createDataFrame([("http://s/list", LIST), ("http://s/other", "<p>none</p>")], "url string, html string")
     cards = pages.page_cards(df)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from facetflow import sampledata
 from facetflow.operators import gates, normalize
-from facetflow.plans import merge, run_cycle, train
+from facetflow.plans import harvest, merge, run_cycle, train
 from facetflow.sources import readers, registry, writers
 
 
@@ -31,6 +31,8 @@ def test_run_cycle(spark, sf_dir, tmp_path):
     assert summary["feed_quality"]["absent"]["rows"] == 0 and summary["feed_quality"]["import:partner"]["rows"] == 2
     assert summary["phase12_exit"]["metrics"]["vendor_distribution"]["partner"] == 2
     assert summary["skipped_feeds"][0]["feed"] == "absent"
+    outcomes = {r["feed"]: (r["status"], r["rows"]) for r in summary["feed_outcomes"]}
+    assert outcomes == {"africa": ("read", 6000), "import:partner": ("read", 2), "absent": ("absent", 0)}
     written = json.loads(next(Path(out, "run_summary").glob("*.json")).read_text())
     assert written["growth_metrics"]["delta_rows"] == 6002
     strict = gates.Required(growth=True)
@@ -62,7 +64,43 @@ def test_merge_then_train(spark, sf_dir, tmp_path):
     assert metrics["time_holdout"]["model_mae_log"] < metrics["time_holdout"]["baseline_mae_log"]
     train.publish(spark, trained, str(tmp_path / "out"))
     assert {p.name for p in Path(tmp_path, "out").iterdir()} == {"metrics", "uncertainty_policy", "attribution", "model"}
+    deep = train.train(listings, report, trees=4)
+    errors = deep.metrics.first()
+    assert errors["two_stage_cv_mae_log_mean"] < errors["cv_mae_log_mean"]
+    assert deep.policy.high_error < trained.policy.high_error
+    train.publish(spark, deep, str(tmp_path / "deep"))
+    assert spark.read.parquet(str(tmp_path / "deep" / "trees")).where("model = -1").select("tree").distinct().count() == 4
     with pytest.raises(gates.GateFailed):
         train.train(listings, None)
     with pytest.raises(gates.GateFailed):
         train.train(listings, report, min_improvement=10.0)
+
+
+def test_feeds_with_line_breaks_and_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('source_url,girdle,carat\nu1,"thin\nto ""thick""",1.5\nu2,plain,2\n')
+    (tmp_path / "b.csv").write_text("source_url,girdle,carat\nu3,plain,1\n")
+    (tmp_path / "c.csv").write_text("source_url,carat\n")
+    assert readers.has_broken_lines(spark, str(tmp_path / "a.csv")) and not readers.has_broken_lines(spark, str(tmp_path / "b.csv"))
+    rows = readers.read_present(spark, [str(tmp_path / f"{n}.csv") for n in "ab"]).collect()
+    assert sorted((r["source_url"], r["girdle"], r["carat"]) for r in rows) == [("u1", 'thin\nto "thick"', 1.5), ("u2", "plain", 2.0), ("u3", "plain", 1.0)]
+    feeds = {n: str(tmp_path / f"{n}.csv") for n in "abcd"} | {"e": str(tmp_path / "e.xml"), "import:b": str(tmp_path), "import:z": str(tmp_path)}
+    found, skipped = readers.read_run(spark, feeds)
+    got = {r["feed"]: (r["status"], r["rows"]) for r in readers.feed_outcomes(spark, found, skipped).collect()}
+    assert got == {
+        "a": ("read", 2), "b": ("read", 1), "import:b": ("read", 1), "c": ("empty", 0), "d": ("absent", 0), "e": ("unsupported", 0), "import:z": ("absent", 0),
+    }
+    assert found.where("feed = 'import:b'").first()["vendor"] == "b"
+    nothing, skipped = readers.read_run(spark, {"d": feeds["d"]})
+    assert nothing is None and readers.feed_outcomes(spark, nothing, skipped).count() == 1
+
+
+def test_harvest_writes_batch_and_log(spark, sf_dir, tmp_path):
+    lists, details = sampledata.label_pages(spark, sf_dir)
+    lists.write.parquet(str(tmp_path / "lists"))
+    details.write.parquet(str(tmp_path / "details"))
+    done = harvest.harvest(spark, str(tmp_path / "lists"), str(tmp_path / "details"), "label", "2026-01-01", str(tmp_path / "raw"), "leaf:1")
+    batch, log = spark.read.parquet(done.batch_path), spark.read.json(done.log_path)
+    assert batch.count() == log.count() == done.listings > 0
+    assert done.parsed == batch.where("price_usd <> 0 and carat <> 0").count()
+    found, skipped = run_cycle.collect_feeds(spark, ["leaf:1"], str(tmp_path / "raw"), str(tmp_path))
+    assert found.count() == done.listings and not skipped
