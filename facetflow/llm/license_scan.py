@@ -3,7 +3,8 @@
 Every run of three words of a document is joined to the places where templates
 have it. A match votes for the diagonal "place in the document minus place in the
 template"; votes are summed per diagonal, neighbouring diagonals (words put in or
-left out) are merged, and a span counts when enough of its template stands in it.
+left out) are merged into spans, and a span is verified: it counts by the different
+places of its template that stand in it, however often each does.
 DataFrame functions only; templates are a fixed list and broadcast.
 """
 
@@ -73,6 +74,9 @@ def _templates(spark: SparkSession) -> DataFrame:
 def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Votes per document, template and diagonal; template -1 has one row per document.
 
+    ``held`` marks the places of the template that voted, one bit each, so a
+    template has 63 runs at most.
+
     A document is a pair of id and text: ``id``, ``digest`` (of the text),
     ``n_words``; rows that repeat it add to ``votes``.
     """
@@ -85,9 +89,9 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     templates = F.broadcast(_templates(docs.sparkSession).withColumn("t_hash", F.xxhash64("t_run")))
     hits = placed.join(templates, (F.xxhash64("run") == F.col("t_hash")) & (F.col("run") == F.col("t_run")))
     word = F.col("place").cast("long") - 1
-    hits = hits.select("id", "digest", "n_words", "template", "label", "base", "runs", (word - F.col("at")).alias("diagonal"), word.alias("word"))
+    hits = hits.select("id", "digest", "n_words", "template", "label", "base", "runs", (word - F.col("at")).alias("diagonal"), word.alias("word"), F.expr("shiftleft(1L, at)").alias("held"))
     return hits.groupBy("id", "digest", "n_words", "template", "label", "base", "runs", "diagonal").agg(
-        F.count("*").alias("votes"), F.min("word").alias("first"), F.max("word").alias("last")
+        F.count("*").alias("votes"), F.min("word").alias("first"), F.max("word").alias("last"), F.bit_or("held").alias("held")
     )
 
 
@@ -95,7 +99,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Spans per document and template, and for each document one row of template -1.
 
     ``copies`` says how often the row occurs, ``score`` which share of the
-    template's runs the span holds, ``places`` how many of its diagonals hold all.
+    template's runs the span holds, each counted once, ``places`` how many of its
+    diagonals hold all.
     """
     by_document = votes(docs, id_col, text_col).repartition("id", "digest")
     whole = Window.partitionBy("id", "digest")
@@ -107,7 +112,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     marked = marked.withColumn("span", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     votes_once = F.col("votes") / F.col("copies")
     return marked.groupBy("id", "digest", "n_words", "copies", "template", "label", "base", "runs", "span").agg(
-        F.least(F.sum(votes_once) / F.first("runs"), F.lit(1.0)).alias("score"),
+        (F.bit_count(F.bit_or("held")) / F.first("runs")).alias("score"),
         F.sum((votes_once >= F.col("runs")).cast("long")).alias("places"),
         F.min(F.when(votes_once >= F.col("runs"), F.col("diagonal"))).alias("first_place"),
         F.max(F.when(votes_once >= F.col("runs"), F.col("diagonal"))).alias("last_place"),

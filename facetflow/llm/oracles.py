@@ -34,7 +34,8 @@ runs as (
   from docs, unnest(range(1, len(w) - 1)) as r(i)
 ),
 votes as (
-  select rn, template, label, base, runs, word - spot as diagonal, count(*) as votes, min(word) as first, max(word) as last
+  select rn, template, label, base, runs, word - spot as diagonal, count(*) as votes, min(word) as first, max(word) as last,
+    bit_or(1::bigint << spot) as held
   from runs join places using (run) group by all
 ),
 marked as (
@@ -46,7 +47,7 @@ numbered as (
   select *, sum(new) over (partition by rn, template order by diagonal rows unbounded preceding) as span from marked
 ),
 spans as (
-  select rn, template, label, base, least(sum(votes) / runs, 1.0) as score,
+  select rn, template, label, base, bit_count(bit_or(held)) / runs as score,
     count(*) filter (where votes >= runs) as places,
     min(diagonal) filter (where votes >= runs) as first_place, max(diagonal) filter (where votes >= runs) as last_place
   from numbered group by rn, template, label, base, runs, span

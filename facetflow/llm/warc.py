@@ -112,17 +112,34 @@ def _headers(raw: bytes, at: int) -> tuple[dict[str, str], int]:
         raise ValueError("no version line or no end of headers")
     lines = raw[at:end].decode("utf-8").split("\r\n")[1:]
     fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    if not fields.get("content-length", "").isdigit():
+    if not _is_number(fields.get("content-length", "")):
         raise ValueError("no length")
+    if not _is_number(fields.get("x-payload-length", "0")):
+        raise ValueError("no number")
     return fields, end + len(_END)
 
 
+def _is_number(text: str) -> bool:
+    """Up to 18 digits of ASCII, which a long holds."""
+    return bool(re.fullmatch("[0-9]{1,18}", text))
+
+
+def _begins_record(data: bytes, at: int) -> bool:
+    """Whether a gzip member begins with a version line, from its first bytes."""
+    try:
+        return zlib.decompressobj(31).decompress(data[at : at + 256], 7).startswith(b"WARC/1.")
+    except zlib.error:
+        return False
+
+
 def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers and payload of the whole, checked record at ``at``, and where it ends."""
     if data.startswith(b"WARC/", at):
         fields, block = _headers(data, at)
         end = block + int(fields["content-length"])
         body, tail, after = data[block:end], data[end : end + len(_END)], end + len(_END)
+    elif not _begins_record(data, at):
+        raise ValueError("no record")
     else:
         raw, after = _member(data, at)
         fields, block = _headers(raw, 0)

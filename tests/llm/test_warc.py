@@ -119,3 +119,25 @@ def test_large_members_are_split(spark, tmp_path, monkeypatch):
     warc.write_archives(pages, path)
     got = {r.record_id: r for r in warc.read_archives(spark, path).collect()}
     assert bytes(got[name(1)].payload).decode() == text and got[name(2)].record_type == "response"
+
+
+def test_a_broken_number_is_a_gap(spark, tmp_path):
+    parts = archive(3)
+    for wrong in (b"X-Payload-Length: 3x0", b"X-Payload-Length: ", b"X-Payload-Length: " + b"9" * 40):
+        broken = parts[1].replace(b"X-Payload-Length: 300", wrong)
+        data = b"".join(members([parts[0], broken, parts[2]]))
+        assert [x for x in ids(data) if isinstance(x, str)] == [name(0), name(2)]
+        assert ids(parts[0] + broken + parts[2])[::2] == [name(0), name(2)]
+    revisit = warc.record(9, None, 0, "0" * 64, 5, b"", "1970-01-01T00:00:00Z").replace(b"X-Payload-Length: 5", b"X-Payload-Length: five")
+    (tmp_path / "part-0").write_bytes(b"".join(members([parts[0], revisit, parts[2]])))
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((r.kind, r.record_id or "") for r in got) == [("gap", ""), ("record", name(0)), ("record", name(2))]
+
+
+def test_many_false_starts_are_passed_quickly():
+    import time
+
+    data = b"\x1f\x8b\x08" * 100_000 + members(archive(1))[0]
+    began = time.process_time()
+    assert ids(data) == [(0, 300_000), name(0)]
+    assert time.process_time() - began < 8
