@@ -149,15 +149,16 @@ def line_links(lines: DataFrame, edits: int) -> DataFrame:
     return checked.select(F.col("a.h1").alias("a1"), F.col("a.h2").alias("a2"), F.col("b.h1").alias("b1"), F.col("b.h2").alias("b2"), "distance")
 
 
-def removed_lines(
+def placed_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, fold_chars: int | None = None
 ) -> DataFrame:
-    """Lines to remove: ``id, t, n`` (document and line number from 0), ``links`` and ``keeper``.
+    """Places of repeated and linked lines: ``id, t, n`` (document and line number from 0), ``links``, ``keeper`` and ``removed``.
 
     ``keeper`` (id, t, n) is the earliest equal or linked line, in the order of
-    id, text hash and line number; ``links`` counts the different lines within the
-    distance. Lines shorter than ``least_chars`` are not linked; those that have
-    ``fold_chars`` (by default as many) or more still go when an earlier line equals them.
+    id, text hash and line number; a later place is ``removed``. ``links`` counts
+    the different lines within the distance. Lines shorter than ``least_chars``
+    are not linked; those that have ``fold_chars`` (by default as many) or more
+    still go when an earlier line equals them.
     """
     fold_chars = least_chars if fold_chars is None else min(fold_chars, least_chars)
     lines = _distinct(docs, id_col, text_col, fold_chars)
@@ -169,13 +170,14 @@ def removed_lines(
     kept = firsts.join(near, ["h1", "h2"], "left").where("n > 1 or links is not null")
     kept = kept.select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("keeper"), F.coalesce("links", F.lit(0)).alias("links"))
     places = _lines(docs, id_col, text_col).where(F.char_length("line") >= fold_chars).select("at", "h1", "h2")
-    out = places.join(kept, ["h1", "h2"]).where(F.col("keeper") < F.col("at"))
-    return out.select("at.id", "at.t", "at.n", "links", "keeper")
+    out = places.join(kept, ["h1", "h2"]).withColumn("removed", F.col("keeper") < F.col("at"))
+    return out.select("at.id", "at.t", "at.n", "links", "keeper", "removed")
 
 
-def by_document(removed: DataFrame) -> DataFrame:
-    """Removed line numbers of each document, as an array without repeats."""
-    return removed.groupBy("id", "t").agg(F.sort_array(F.collect_set("n")).alias("gone"), F.max("links").alias("links"))
+def by_document(placed: DataFrame) -> DataFrame:
+    """Removed line numbers of each document, as an array without repeats, and the most links of a line of it."""
+    gone = F.collect_set(F.when(F.col("removed"), F.col("n")))
+    return placed.groupBy("id", "t").agg(F.sort_array(gone).alias("gone"), F.max("links").alias("links"))
 
 
 def dedup_lines(
@@ -188,20 +190,22 @@ def dedup_lines(
     stays null, an empty one empty; a text may become empty. Lines end at a line
     feed. Other columns may have any names. Empty input gives no rows.
     """
-    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars, fold_chars))
+    gone = by_document(placed_lines(docs, id_col, text_col, edits, least_chars, fold_chars).where("removed"))
     gone = gone.select(F.struct("id", "t").alias("_key"), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t")).alias("_own"))
     joined = rows.join(gone, F.col("_own").eqNullSafe(F.col("_key")), "left")
     text = F.col("row").getField(text_col)
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("gone", i)), "\n")
+    lines = F.split(text, "\n")
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+    left = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
     return joined.select(*(F.when(F.col("gone").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, fold_chars: int | None = None
 ) -> DataFrame:
-    """One row per row of ``docs``: lines, lines removed, their numbers, and the most links of one of them."""
-    gone = by_document(removed_lines(docs, id_col, text_col, edits, least_chars, fold_chars))
+    """One row per row of ``docs``: lines, lines removed, their numbers, and the most links that one of its lines has, kept or not."""
+    gone = by_document(placed_lines(docs, id_col, text_col, edits, least_chars, fold_chars))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_t"), F.size(F.split(text, "\n")).cast("long").alias("n_lines"))
     joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")), "left")

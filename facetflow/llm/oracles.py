@@ -118,16 +118,17 @@ with lines as (
 ),
 kinds as (
   select line, length(line) as size, min({{'doc_id': doc_id, 'n': n}}) as first, count(*) as copies
-  from lines where length(line) >= {line_dedup.LEAST_CHARS} group by line
+  from lines where line <> '' group by line
 ),
+long as (select * from kinds where size >= {line_dedup.LEAST_CHARS}),
 met as (
-  select a.line as x, b.line as y from kinds a join kinds b
+  select a.line as x, b.line as y from long a join long b
     on b.size = a.size and left(a.line, a.size // 2) = left(b.line, a.size // 2) and a.line <> b.line
-  union select a.line, b.line from kinds a join kinds b
+  union select a.line, b.line from long a join long b
     on b.size = a.size and right(a.line, a.size // 2) = right(b.line, a.size // 2) and a.line <> b.line
-  union select a.line, b.line from kinds a join kinds b
+  union select a.line, b.line from long a join long b
     on b.size = a.size + 1 and left(a.line, a.size // 2) = left(b.line, a.size // 2)
-  union select a.line, b.line from kinds a join kinds b
+  union select a.line, b.line from long a join long b
     on b.size = a.size + 1 and right(a.line, a.size // 2) = right(b.line, a.size // 2)
 ),
 close as (select x, y from met where levenshtein(x, y) <= 1),
@@ -137,9 +138,11 @@ kept as (
   select kinds.line, least(first, coalesce(other, first)) as keeper, coalesce(links, 0) as links
   from kinds left join others using (line)
 ),
+placed as (select lines.doc_id, n, links, {{'doc_id': doc_id, 'n': n}} > keeper as later from lines join kept using (line)),
 gone as (
-  select doc_id, count(*) as n_removed, string_agg(cast(n as varchar), ',' order by n) as removed_lines, max(links) as most_links
-  from lines join kept using (line) where {{'doc_id': doc_id, 'n': n}} > keeper group by doc_id
+  select doc_id, count(*) filter (where later) as n_removed, string_agg(cast(n as varchar), ',' order by n) filter (where later) as removed_lines,
+    max(links) as most_links
+  from placed group by doc_id
 )
 select doc_id, cast(len(string_split(coalesce(text, ''), chr(10))) as bigint) as n_lines,
   cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(removed_lines, '') as removed_lines,

@@ -110,7 +110,7 @@ def op9_resharding(spark, sf_dir):
 
 
 def op10_line_dedup(spark, sf_dir):
-    return line_dedup.report(_table(spark, sf_dir, "documents"))
+    return line_dedup.report(_table(spark, sf_dir, "documents"), fold_chars=1)
 
 
 def op11_spelling(spark, sf_dir):

@@ -55,6 +55,18 @@ def test_labels_of_the_method(spark):
     assert got[4].base_labels == got[4].labels == "mit"
 
 
+def test_a_place_of_a_template_counts_once(spark):
+    rows = [
+        (1, "general public license general public license general public license"),
+        (2, "the mit license the mit license"),
+        (3, "gnu lesser x general public license gnu lesser general"),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(documents(spark, rows)).collect()}
+    assert got[1].labels == "" and got[1].score == pytest.approx(1 / 3)
+    assert got[2].labels == "" and got[2].score == pytest.approx(1 / 2)
+    assert got[3].labels == ""
+
+
 def test_empty_table(spark):
     out = license_scan.scan(empty(spark))
     assert out.columns == [*KEYS, "labels", "score"] and out.count() == 0

@@ -101,6 +101,23 @@ def test_short_copies_are_folded_and_not_linked(spark):
     assert {r.doc_id: r.text for r in staged.collect()} == cleaned
 
 
+def test_links_of_kept_lines_are_reported(spark):
+    a = prose(81, 12)
+    rows = [(1, f"{a}\nother"), (2, f"{a}x"), (3, f"{a}y\nother"), (4, "nothing")]
+    got = {r.doc_id: (r.removed_lines, r.most_links) for r in line_dedup.report(documents(spark, rows), fold_chars=1).collect()}
+    assert got == {1: ("", 2), 2: ("0", 2), 3: ("0,1", 2), 4: ("", 0)}
+
+
+def test_many_equal_lines_in_one_document(spark):
+    import time
+
+    rows = [(1, "\n".join(["ab"] * 100_000 + ["cd"])), (2, "ab\nef")]
+    began = time.time()
+    cleaned = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(spark, rows), fold_chars=1).collect()}
+    assert cleaned == {1: "ab\ncd", 2: "ef"}
+    assert time.time() - began < 30
+
+
 def test_repeated_rows_are_treated_alike(spark):
     rows = [(7, prose(3, 120)), (7, prose(3, 120)), (9, prose(3, 120)), (9, prose(3, 120))]
     got = sorted((r.doc_id, r.n_removed) for r in line_dedup.report(documents(spark, rows)).collect())
