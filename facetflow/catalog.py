@@ -275,6 +275,14 @@ def spec_parse_label(spark, sf_dir):
     return _parsed_specs(spark, sf_dir, "label_lines", specs.parse_label_specs, wanted)
 
 
+def spec_parse_wrapped(spark, sf_dir):
+    """Entries that go on in a second line of text."""
+    rows = sampledata.listings(spark, sf_dir)
+    parsed = rows.select("source_url", specs.parse_label_specs(F.expr(sampledata.WRAPPED_LINES)).alias("m"))
+    wanted = ["carat", "shape", "table_pct", "depth_pct", "girdle", "polish"]
+    return parsed.select("source_url", *[specs.spec(F.col("m"), k).alias(k) for k in wanted])
+
+
 def measurements(spark, sf_dir):
     rows = sampledata.measure_texts(spark, sf_dir)
     parsed = rows.select("source_url", text.parse_measurements(F.col("measures")).alias("m"))
@@ -861,6 +869,7 @@ QUERIES: dict[str, Query] = {
         title_parse_label,
         spec_parse_table,
         spec_parse_label,
+        spec_parse_wrapped,
         measurements,
         modifier_words,
         price_text,

@@ -108,12 +108,13 @@ def absolute_url(href: Column, base: Column) -> Column:
     scheme = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     site = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/(?:[^?#]*/)?)", 1)
-    page = F.regexp_extract(base, "^([^?#]*)", 1)
+    page, whole = F.regexp_extract(base, "^([^?#]*)", 1), F.regexp_extract(base, "^([^#]*)", 1)
     return (
         F.when((href == "") | href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("/"), F.concat(site, href))
-        .when(href.startswith("?") | href.startswith("#"), F.concat(page, href))
+        .when(href.startswith("?"), F.concat(page, href))
+        .when(href.startswith("#"), F.concat(whole, href))
         .otherwise(F.concat(F.when(folder == "", F.concat(site, F.lit("/"))).otherwise(folder), href))
     )
 

@@ -378,6 +378,8 @@ ORACLES: dict[str, str] = {
     "spec_parse_label": f"""{_R} select source_url, coalesce(cast(carat as varchar), '0') as carat, shape, vendor as color,
         cast(null as varchar) as modifier, cast(table_pct as varchar) as table_pct, {_SIZE} as measurements,
         cast(5 as bigint) as parsed_keys from r""",
+    "spec_parse_wrapped": f"""{_R} select source_url, coalesce(cast(carat as varchar), '0') as carat, shape, cast(table_pct as varchar) as table_pct,
+        cast(null as varchar) as depth_pct, case when table_pct > 53 then null else 'thin' end as girdle, polish from r""",
     "measurements": f"""{_R} select source_url, case when {_MEASURED} then width_mm end as length_mm,
         case when {_MEASURED} then depth_mm end as width_mm, case when {_MEASURED} then table_pct end as depth_mm,
         case when {_MEASURED} then {_ROUND3.format("width_mm", "depth_mm")} end as l_w_ratio from r""",

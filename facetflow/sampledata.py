@@ -150,6 +150,12 @@ LABEL_LINES = (
     "concat('Table: ', cast(table_pct as string), '%'), 'Remarks: none', "
     f"concat('Measurement: ', {_SIZE}), concat('SHAPE: ', shape))"
 )
+# Entries with a second line of text.
+WRAPPED_LINES = (
+    "array(concat('Weight: ', coalesce(cast(carat as string), '0'), 'Ct', chr(10), 'net'), concat('Shape: ', shape, chr(10), 'brilliant'), "
+    "concat('Table: ', cast(table_pct as string), '%'), case when table_pct > 53 then concat('Table: 1%', chr(10), 'or so') else 'Girdle: thin' end, "
+    "concat('Depth: ', cast(table_pct as string), chr(10), '%'), concat('Weight: 9', chr(10), 'about'), concat('Polish:', chr(10), polish))"
+)
 MEASURES = (
     "case when table_pct = 52 then '' when table_pct = 53 then concat(cast(width_mm as string), ' x 2') "
     "else concat(cast(width_mm as string), ' \u00d7 ', cast(depth_mm as string), ' x ', "

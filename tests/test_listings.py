@@ -168,9 +168,12 @@ def test_training_gates(spark):
     with pytest.raises(gates.GateFailed):
         gates.enforce_training_quality(report)
     gates.enforce_training_quality(report.select((F.col("joint_parse_rate") + 0.01).alias("joint_parse_rate")))
-    assert gates.enforce_improvement(0.1, 0.1) == 0.0
+    cv = spark.createDataFrame([(0.1, 0.1)], "cv_mae_log_mean double, baseline_cv_mae_log_mean double")
+    gates.enforce_gate(gates.improvement(cv))
     with pytest.raises(gates.GateFailed):
-        gates.enforce_improvement(0.2, 0.1)
+        gates.enforce_gate(gates.improvement(cv, 0.01))
+    with pytest.raises(gates.GateFailed):
+        gates.enforce_gate(gates.improvement(cv.where("false")))
 
 
 def test_source_policy(spark):

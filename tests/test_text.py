@@ -191,3 +191,19 @@ def test_label_specs_value_layouts(spark):
         "carat": "2.15", "shape": "Cushion", "color": "Yellow", "modifier": "None", "table_pct": "62", "depth_pct": "68",
         "measurements": "8.10 x 7.40 x 5.03", "culet": "None",
     }
+
+
+def test_specification_entries_of_two_lines(spark):
+    rows = [
+        ["Weight: 2.0\nmore", "Shape: Oval\nmodified"],
+        ["Weight: 1.5 ct\nnet", "Table: 58%\nabout", "Depth:\n61 %  "],
+        ["Table: 57%", "Table: 58%\nabout", "Depth: 61\n%"],
+        ["Weight: 1", "weight: 2ct", "Weight: 3\nx"],
+        [],
+    ]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, lines array<string>")
+    got = {r.i: r.m for r in df.select("i", specs.parse_label_specs(F.col("lines")).alias("m")).collect()}
+    assert got[0] == {"shape": "Oval"}
+    assert got[1] == {"carat": "1.5", "depth_pct": "61"}
+    assert got[2] == {"table_pct": "57"}
+    assert got[3] == {"carat": "2"} and got[4] == {}
