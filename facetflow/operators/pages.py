@@ -34,11 +34,16 @@ _PRICE_SPAN = r"\A(?U)USD\s+[\d,]+\z"
 _ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
+def _read(pages: DataFrame) -> DataFrame:
+    """``url, _page``: the visible part of every page, a column of its own so that it is made once."""
+    return pages.select("url", markup.visible(F.col("html")).alias("_page"))
+
+
 def page_cards(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     """``url, position, href, title, price`` of every product card."""
     holding = pages.where(F.contains("html", F.lit(marks.card)))
-    found = markup.contents(markup.visible(F.col("html")), markup.with_class(marks.card))
-    cards = holding.select("url", F.posexplode(found).alias("position", "_card"))
+    found = markup.contents(F.col("_page"), markup.with_class(marks.card))
+    cards = _read(holding).select("url", F.posexplode(found).alias("position", "_card"))
     card = F.col("_card")
     href = strip(markup.attribute(markup.start_tag(card, "a"), "href"))
     title, price = (
@@ -51,9 +56,9 @@ def page_cards(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
 def table_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
     """``url, lines``: the information-table rows of every detail page."""
     holding = pages.where(F.contains("html", F.lit(marks.rows)))
-    rows = markup.first_content(markup.visible(F.col("html")), markup.with_class(marks.rows))
-    lines = F.coalesce(markup.children_texts(rows), F.array().cast("array<string>"))
-    return _one_per_url(holding.select("url", lines.alias("lines")))
+    rows = markup.first_content(F.col("_page"), markup.with_class(marks.rows))
+    lines = F.coalesce(markup.children_texts(F.col("_rows")), F.array().cast("array<string>"))
+    return _one_per_url(_read(holding).select("url", rows.alias("_rows")).select("url", lines.alias("lines")))
 
 
 def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
@@ -63,12 +68,12 @@ def label_details(pages: DataFrame, marks: Markup = MARKUP) -> DataFrame:
         | F.contains("html", F.lit("USD"))
         | F.contains("html", F.lit(marks.report))
     )
-    page = markup.visible(F.col("html"))
-    spans = F.filter(markup.tag_texts(F.col("html"), "span"), lambda t: t.rlike(_PRICE_SPAN))
+    page = F.col("_page")
+    spans = F.filter(markup.tag_texts(page, "span"), lambda t: t.rlike(_PRICE_SPAN))
     block = markup.first_content(page, markup.with_class(marks.block, whole=True))
     reports = F.transform(markup.contents(page, markup.with_class(marks.report)), markup.text_of)
     report = F.get(F.filter(reports, lambda t: F.lower(t).contains("report type")), F.lit(0))
-    parsed = holding.select(
+    parsed = _read(holding).select(
         "url",
         F.coalesce(F.get(spans, F.lit(0)), F.lit("")).alias("price_text"),
         F.coalesce(markup.tag_texts(block, "p"), F.array().cast("array<string>")).alias("lines"),
@@ -96,7 +101,8 @@ def certificate_lab(report: Column) -> Column:
 
 def tag_texts(pages: DataFrame, tag: str, keep: list[str]) -> DataFrame:
     """``keep, position, text``: text of every element with the tag, in page order."""
-    return pages.select(*keep, F.posexplode(markup.tag_texts(F.col("html"), tag)).alias("position", "text"))
+    page = pages.select(*keep, markup.visible(F.col("html")).alias("_page"))
+    return page.select(*keep, F.posexplode(markup.tag_texts(F.col("_page"), tag)).alias("position", "text"))
 
 
 def first_heading(pages: DataFrame, keep: list[str], tag: str = "h3") -> DataFrame:
