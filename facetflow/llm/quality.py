@@ -24,6 +24,8 @@ WIDTH = 3.0
 RIDGE = 1e-3
 #: Steps of a raw score in the calibration histogram.
 STEPS = 2000
+#: Rows whose statistics are held at once.
+_SLICE = 1024
 _UPPER, _LOWER, _DIGIT = slice(65, 91), slice(97, 123), slice(48, 58)
 _SIGNS = [ord(c) for c in ".,!?|#$%&*:;-'\"/\\<>()[]{}=+~^`_@"]
 
@@ -89,7 +91,7 @@ def with_statistics(docs: DataFrame, keep: Column, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(t) for t in batch.column(1).to_pylist()]
+            x = [statistics(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["kept", "x"])
 
     return rows.mapInArrow(run, schema)
@@ -206,7 +208,20 @@ def classify(
 def keep_good(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    """The rows of ``docs`` that the classifier accepts, with all their columns.
+
+    Each row goes to Python and back once; a task holds a batch of rows and the
+    statistics of ``_SLICE`` of them.
+    """
     model, _ = train(docs, labels, id_col, text_col, label_col)
-    rows = scored(with_statistics(docs, F.struct("*"), text_col), model)
-    return rows.where("score >= 0.5").select(*(F.col("kept").getField(c).alias(c) for c in docs.columns))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, _SLICE):
+                rows = batch.slice(start, _SLICE)
+                x = np.array([statistics(t.as_py()) for t in rows.column(at).cast(pa.string())])
+                good = model.score(x) >= 0.5 if model else np.ones(len(x), dtype=bool)
+                yield rows.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
