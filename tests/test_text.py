@@ -207,3 +207,10 @@ def test_specification_entries_of_two_lines(spark):
     assert got[1] == {"carat": "1.5", "depth_pct": "61"}
     assert got[2] == {"table_pct": "57"}
     assert got[3] == {"carat": "2"} and got[4] == {}
+
+
+def test_lines_of_the_label_layout_are_judged_once(spark):
+    rows = spark.createDataFrame([(["Weight: 2Ct", "Table: 5%", "Table: 6%\nor so"],)], "lines array<string>")
+    parsed = rows.select(specs.parse_label_specs(F.col("lines")).alias("m"))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("zip_with(") <= 2
+    assert parsed.first()["m"] == {"carat": "2", "table_pct": "5"}
