@@ -104,3 +104,11 @@ def test_harvest_writes_batch_and_log(spark, sf_dir, tmp_path):
     assert done.parsed == batch.where("price_usd <> 0 and carat <> 0").count()
     found, skipped = run_cycle.collect_feeds(spark, ["leaf:1"], str(tmp_path / "raw"), str(tmp_path))
     assert found.count() == done.listings and not skipped
+
+
+def test_text_feeds_of_whole_tables_are_written_packed(spark, sf_dir):
+    from facetflow import catalog
+
+    for query in (catalog.json_scan, catalog.merged_inputs, catalog.run_feeds):
+        files = query(spark, sf_dir).inputFiles()
+        assert any(f.endswith((".csv.gz", ".json.gz")) for f in files) and not any(f.endswith((".csv", ".json")) for f in files), query
