@@ -397,3 +397,17 @@ def test_model_table_round_trip(spark, rows, checked, tmp_path):
     assert model.load_model(spark.read.parquet(path)) == fitted
     ranked = model.attribution(rows, fitted).orderBy(F.col("mean_abs_contribution").desc()).first()
     assert ranked["feature"].startswith("carat") or ranked["feature"].startswith("length")
+
+
+def test_the_error_of_a_row_is_worked_out_once(rows, checked):
+    """The prediction stands below the step that makes a row's terms, not above it."""
+    plan = model.optimality(rows, checked.sums.whole)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Generate stack") < plan.index("AS _error")
+
+
+def test_rows_are_not_sent_by_fold_or_vendor_to_meet_medians(checked):
+    """Few medians come to the rows, whatever a plan knows of them."""
+    fitted = baseline.fit_baseline(checked.rows, "vendor")
+    for met in (baseline.predict_baseline(checked.rows, fitted), validation.out_of_fold(checked.rows, checked.sums)):
+        plan = met._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
