@@ -141,3 +141,21 @@ def test_repeated_values_are_made_once(spark):
     page = f"<html><p title=\"{CARD}a</div>\">x</p>{CARD}b<DIV>c</div></Div>d{CARD}e"
     (row,) = spark.range(1).select(markup.contents(F.lit(page), markup.with_class("wideJewelGridItemContainer")).alias("c")).collect()
     assert row["c"] == ["a", "b<DIV>c</div>", "e"]
+
+
+def test_nested_elements_are_read_by_one_pattern(spark):
+    card = markup.with_class("k")
+    nested = "<div class='k'>a<div/><div>b<div>c<div>d</div></div><divx></div>e</DIV>f"
+    deeper = "<div class='k'>" + "<div>" * 4 + "x" + "</div>" * 5
+    read = spark.createDataFrame([(nested,), (deeper,), ("<div class=k>open",), ("<p>none",), (None,)], "h string")
+    plain = markup._plain_or(F.col("h"), card, F.lit("?")).alias("plain")
+    found = read.select(plain, markup.first_content(F.col("h"), card), F.get(markup.contents(F.col("h"), card), F.lit(0))).collect()
+    inside = "a<div/><div>b<div>c<div>d</div></div><divx></div>e"
+    assert [tuple(r) for r in found[:2]] == [(inside,) * 3, ("?", deeper[15:-6], deeper[15:-6])]
+    assert [tuple(r) for r in found[2:]] == [("?", "open", "open"), ("?", None, None), ("?", None, None)]
+
+
+def test_flat_children_are_read_without_a_fold(spark):
+    flat, other = "x<div a=1>A &amp; b</div> y<p>c</P><br>", "<div>a<b>b</b></div><img src='/'><div>c"
+    rows = spark.createDataFrame([(flat[:-4],), (flat,), (other,), ("",)], "h string")
+    assert [r[0] for r in rows.select(markup.children_texts(F.col("h"))).collect()] == [["A & b", "c"], ["A & b", "c"], ["ab", "c"], []]
