@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetflow.functions import text
-from facetflow.operators.quantiles import group_quantiles
+from facetflow.operators.quantiles import group_quantiles, listed_quantiles
+from facetflow.session import write_out
 
 # Default thresholds.
 Z_THRESHOLD = 2.5
 MIN_POINTS = 5
 DROP_SHARE = 0.2
 
+# Points of a listing that one task may hold; only the plan depends on it.
+LISTED = 10_000
+
 
 def valid_history(history: DataFrame) -> DataFrame:
     """Rows with a numeric price, a listing key and a time."""
@@ -49,12 +53,15 @@ def detect_mispriced(
     min_points: int = MIN_POINTS,
     drop_share: float = DROP_SHARE,
     ordered: bool = True,
+    written: bool = False,
 ) -> DataFrame:
     """Every listing with enough points: its latest row, statistics and flags.
 
     The latest row, count and deviation of a listing are constant-size partial
     aggregates and the exact median comes from counts (see ``quantiles``), so no
-    task ever holds the points of a hot listing.
+    task ever holds the points of a hot listing. With ``written`` the listings
+    with enough points are written at once and medians sought for them alone:
+    up to ``LISTED`` points from their sorted list, beyond that from counts.
     """
     rows = valid_history(history)
     carried = [c for c in rows.columns if c != "listing_key"]
@@ -66,13 +73,16 @@ def detect_mispriced(
         "_latest": F.max_by(F.struct(*carried), newest),
     }
     grouped = rows.groupBy("listing_key").agg(*[c.alias(n) for n, c in summary.items()])
-    medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5)
+    grouped = grouped.where(F.col("count") >= min_points)
+    if written:
+        grouped = write_out(grouped, "listings")
+        medians = _medians(rows, grouped)
+    else:
+        medians = group_quantiles(rows, ["listing_key"], "price_usd", 0.5)
     grouped = grouped.join(medians.withColumnRenamed("quantile", "median"), "listing_key")
 
     price = F.col("price_usd")
-    out = grouped.where(F.col("count") >= min_points).select(
-        "listing_key", "_latest.*", "count", "median", "std"
-    )
+    out = grouped.select("listing_key", "_latest.*", "count", "median", "std")
     out = out.withColumns(
         {
             "z_score": (price - F.col("median")) / F.nullif(F.col("std"), F.lit(0.0)),
@@ -88,7 +98,27 @@ def detect_mispriced(
             ),
         }
     )
-    return out.orderBy(*_order()) if ordered else out
+    return in_order(out) if ordered else out
+
+
+def in_order(mispriced: DataFrame) -> DataFrame:
+    return mispriced.orderBy(*_order())
+
+
+def _medians(rows: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``listing_key, quantile``: the median price of the listings in ``grouped``.
+
+    Hot listings are written, so that Spark knows how few they are and takes
+    their rows out before any row is shuffled by its listing.
+    """
+    points = rows.select("listing_key", "price_usd")
+    hot = write_out(grouped.where(F.col("count") > LISTED).select("listing_key"), "hot")
+    few = points.join(hot, "listing_key", "left_anti").join(grouped.select("listing_key"), "listing_key", "left_semi")
+    medians = listed_quantiles(few, ["listing_key"], "price_usd", 0.5)
+    if hot.isEmpty():
+        return medians
+    many = points.join(hot, "listing_key", "left_semi")
+    return medians.unionByName(group_quantiles(many, ["listing_key"], "price_usd", 0.5))
 
 
 def ranked(mispriced: DataFrame, top: int) -> DataFrame:

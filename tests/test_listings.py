@@ -218,6 +218,18 @@ def test_hot_listings_give_the_same_result(spark):
     assert plain == hot
 
 
+def test_written_listings_give_the_same_result(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "LISTED", 50)
+    prices = {"hot": [((i * 37) % 101) / 7 for i in range(300)], "cool": [9, 1, 4.5, 3, 8, 2.25], "few": [1, 2, 3], "far": [1, "1e999", 3, "1e999", 5, "x"]}
+    rows = [r for k, values in prices.items() for r in price_rows(k, values)] + price_rows(None, range(9))
+    rows = [(k, p, f"2026-01-01T00:{i // 60:02d}:{i % 60:02d}Z", v, u) for i, (k, p, _, v, u) in enumerate(rows)]
+    df = spark.createDataFrame(rows, PRICES)
+    exact = ["listing_key", "price_usd", "count", "median", "drop_pct_vs_median"]
+    plain = sorted(map(str, anomaly.detect_mispriced(df).select(exact).collect()))
+    written = sorted(map(str, anomaly.detect_mispriced(df, written=True).select(exact).collect()))
+    assert len(plain) == 3 and plain == written
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "partner.csv").write_text("source_url,price_usd,carat,vendor\nu1,1000,1.0,\n\"u,2\",1200,None, v \n")
     (tmp_path / "empty.csv").write_text("source_url,price_usd\n")

@@ -41,6 +41,15 @@ def test_run_cycle(spark, sf_dir, tmp_path):
     assert Path(tmp_path, "run2", "run_summary").exists()
 
 
+def test_a_run_carries_no_more_columns_than_its_report_shows(spark, tmp_path, monkeypatch):
+    seen, detect = [], run_cycle.anomaly.detect_mispriced
+    monkeypatch.setattr(run_cycle.anomaly, "detect_mispriced", lambda history, **more: seen.extend(history.columns) or detect(history, **more))
+    rows = [("a", "u", "2026-01-01", "s", 10.0)]
+    batch = normalize.normalize(spark.createDataFrame(rows, "vendor string, source_url string, date_seen string, sku_or_stock string, price_usd double"))
+    run_cycle.run(spark, batch, "20260101T000000Z", "2026-01-01 00:00:00", str(tmp_path / "history"), str(tmp_path / "run"))
+    assert set(seen) == {"listing_key", "vendor", "source_url", "price_usd", "scraped_at", "run_id"}
+
+
 def test_run_with_an_empty_batch(spark, tmp_path):
     batch = readers.header_only(spark).withColumn("feed", F.lit(""))
     summary = run_cycle.run(spark, batch, "20260101T000000Z", "2026-01-01 00:00:00", str(tmp_path / "h"), str(tmp_path / "o"), ["a"]).first()
