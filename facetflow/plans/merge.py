@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from facetflow.operators.dedupe import dedupe
 from facetflow.operators.quality import quality_report
+from facetflow.session import small_pieces
 from facetflow.sources import registry
 from facetflow.sources.readers import read_present
 from facetflow.sources.writers import write_clean, write_report
@@ -31,7 +32,8 @@ def merge_and_clean(
     before, after = Observation(), Observation()
     merged = read_present(spark, inputs).observe(before, F.count("*").alias("rows"))
     clean = dedupe(merged, missing_geometry).observe(after, F.count("*").alias("rows"))
-    write_clean(clean, clean_path, csv_path)
+    with small_pieces(spark):
+        write_clean(clean, clean_path, csv_path)
     counts = {"rows_read": before.get["rows"], "rows_kept": after.get["rows"]}
     report = quality_report(spark.read.parquet(clean_path))
     report = report.withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})

@@ -50,6 +50,16 @@ def test_a_run_carries_no_more_columns_than_its_report_shows(spark, tmp_path, mo
     assert set(seen) == {"listing_key", "vendor", "source_url", "price_usd", "scraped_at", "run_id"}
 
 
+def test_merging_reads_small_pieces_and_leaves_the_session_as_it_was(spark, tmp_path, monkeypatch):
+    name, seen, write = "spark.sql.files.maxPartitionBytes", [], merge.write_clean
+    usual = spark.conf.get(name)
+    monkeypatch.setattr(merge, "write_clean", lambda *given: seen.append(spark.conf.get(name)) or write(*given))
+    spark.createDataFrame([("a", "u", 1.0), ("a", "u", 1.0)], "vendor string, source_url string, carat double").write.parquet(str(tmp_path / "in.parquet"))
+    report = merge.merge_and_clean(spark, [str(tmp_path / "in.parquet")], str(tmp_path / "clean")).first()
+    assert (report["rows_read"], report["rows_kept"]) == (2, 1)
+    assert seen == [str(8 << 20)] and spark.conf.get(name) == usual
+
+
 def test_run_with_an_empty_batch(spark, tmp_path):
     batch = readers.header_only(spark).withColumn("feed", F.lit(""))
     summary = run_cycle.run(spark, batch, "20260101T000000Z", "2026-01-01 00:00:00", str(tmp_path / "h"), str(tmp_path / "o"), ["a"]).first()
