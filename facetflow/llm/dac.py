@@ -205,8 +205,9 @@ def write_ids(
 
         for batch in batches:
             of = batch.schema.field(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            all_ids = encode.batch(text.as_py() or "" for text in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), all_ids):
+                ids += end
                 keys.append(key)
                 texts.append(ids)
                 held += len(ids) // 4

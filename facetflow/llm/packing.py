@@ -155,8 +155,9 @@ def pack(
         kinds = None
         for batch in batches:
             kinds = kinds or [batch.schema.field(0).type, *[pa.int64()] * 7, pa.binary()]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            all_ids = encode.batch(text.as_py() or "" for text in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), all_ids):
+                ids += end
                 held[number] = key, ids
                 n = len(ids) // 4
                 for start in range(0, n, sizes[-1]):

@@ -58,6 +58,31 @@ def test_a_full_memory_changes_nothing(tokenizer, monkeypatch):
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("together", [1, 30, 1 << 20])
+def test_texts_cut_together_are_encoded_like_each_alone(tokenizer, monkeypatch, together):
+    monkeypatch.setattr(encoding, "TOGETHER", together)
+    r = random.Random(together)
+    some = ["", "it", "'s", " ", "'", "x'", "reb 'reb'd", "a\n", "\tÉé'll", "ΑΣ", "<|endoftext|>", "w" * 60]
+    texts = ["".join(r.choices("ab'stmdrevl \n.é²9", k=r.randrange(9))) + r.choice(some) for _ in range(500)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoding.WordEncoder(PATH).batch(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_different_parts_of_many_texts_are_looked_up_once(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, part):
+            self.asked += 1
+            return super().get(part)
+
+    encode = encoding.WordEncoder(PATH)
+    encode.young = Counted()
+    want = np.array(tokenizer.encode("one two, one.", add_special_tokens=False).ids, "<u4").tobytes()
+    assert list(encode.batch(["one two, one."] * 300)) == [want] * 300
+    assert encode.young.asked <= 8
+
+
 @pytest.mark.parametrize("block", [1, 700, 1 << 20])
 def test_every_id_lies_in_one_piece(spark, tokenizer, block):
     rows = [(i, t) for i, t in texts() if i is not None]
