@@ -173,6 +173,40 @@ def test_cross_products_and_prediction_agree_with_numpy(rows):
     assert n == len(z) and np.allclose(means, z[:, :-1].mean(axis=0)) and np.allclose(means, fitted.means)
 
 
+def test_sums_of_all_ramps_follow_from_those_of_a_segment(spark):
+    edges = model.RAMP_EDGES[1:]
+    weights = [0.001, *edges, *(e - 1e-9 for e in edges), *(e * (1 + 2e-16) for e in edges), 0.7, 11.0, 31.0, 1e6]
+    data = [(f"v{k % 2}", "ab"[k % 2] if k % 3 else None, w, None if k % 4 else float(k), k / 8) for k, w in enumerate(weights * 2)]
+    schema = "vendor string, shape string, carat double, length_mm double, log_price double"
+    others = [c for c in [*model.CATEGORICAL, *model.MEASURES] if c not in schema]
+    kind = {c: "string" if c in model.CATEGORICAL else "double" for c in others}
+    df = spark.createDataFrame(data, schema).select("*", *[F.lit(None).cast(kind[c]).alias(c) for c in others])
+    design = model.fit_design(df)
+    pdf = df.toPandas()
+    cells = model.cross_products(df, design, ["vendor"]).collect()
+    assert len({(r["vendor"], r["i"], r["j"]) for r in cells}) == len(cells)
+    for vendor in ("v0", "v1"):
+        own = pdf[pdf["vendor"] == vendor].reset_index(drop=True)
+        z = np.column_stack([dense(design, own), own["log_price"]])
+        got = model.Cells.of([(r["i"], r["j"], r["value"]) for r in cells if r["vendor"] == vendor], len(z.T))
+        assert np.allclose(got.dense(), z.T @ z, rtol=1e-12) and ((got.dense() != 0) == (z.T @ z != 0)).all()
+
+
+def test_a_number_that_is_not_finite_spoils_its_cells(spark, rows):
+    df = rows.limit(3).withColumn("carat", F.lit(0.3)).withColumn("length_mm", F.lit(float("inf")))
+    design = model.fit_design(df)
+    value = {(r["i"], r["j"]): r["value"] for r in model.cross_products(df, design, []).collect()}
+    last = [design.at[f"carat_ramp_{a}_{b}"] for a, b in design.ramps][-1]
+    assert math.isnan(value[design.at["length_mm"], last]) and value[0, design.at["length_mm"]] == math.inf
+
+
+def test_gram_matrix_writes_only_what_it_sums(spark, sf_dir, monkeypatch):
+    written, write_out = [], catalog.write_out
+    monkeypatch.setattr(catalog, "write_out", lambda df, name: written.append(df.columns) or write_out(df, name))
+    assert catalog.gram_matrix(spark, sf_dir).count() > 0
+    assert [sorted(c) for c in written] == [sorted(["vendor", *features.CATEGORICAL, *features.NUMERIC, "log_price"])]
+
+
 def test_dividing_out_a_grade_and_starting_elsewhere_change_nothing(rows):
     design = model.fit_design(rows)
     cells = model.collect_cells(model.cross_products(rows, design, []), design)
