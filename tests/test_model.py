@@ -1,3 +1,4 @@
+import datetime
 import heapq
 import itertools
 import math
@@ -314,6 +315,34 @@ def test_stored_models_are_validated_without_training(spark, rows):
         broken.whole
 
 
+def test_the_validation_queries_train_the_model_of_every_split(spark, monkeypatch):
+    r = random.Random(8)
+    schema = "vendor string, source_url string, sku_or_stock string, date_seen date, log_price double, "
+    schema += ", ".join([*(f"{g} string" for g in features.CATEGORICAL), *(f"{m} double" for m in features.NUMERIC)])
+    data = []
+    for k in range(270):
+        grades = [r.choice(["a", "b", "c", None]) for _ in features.CATEGORICAL]
+        weight, sizes = r.choice([0.3, 0.7, 1.2, 1.8, 4.5, 40.0]), [r.choice([None, 1.0, 2.5, 4.0]) for _ in model.MEASURES]
+        log_price = 6 + 1.5 * math.log(weight) + 0.2 * (grades[0] == "a") + 0.1 * r.random()
+        data.append((f"v{k % 9 % 4}", f"u{k}", None, datetime.date(2026, 1, 1 + k % 20), log_price, *grades, weight, *sizes))
+    df = spark.createDataFrame(data * 2, schema)  # every row comes twice
+    monkeypatch.setattr(catalog, "training_rows", lambda *_: df)
+    per_fold = {row["fold"]: row for row in catalog.cv_metrics(spark, "").collect()}
+    held = {row["vendor"]: row for row in catalog.vendor_holdout(spark, "").collect()}
+    design = model.fit_design(df)
+    pdf = df.toPandas()
+    x, y = dense(design, pdf), pdf["log_price"].to_numpy()
+    folds = {row["vendor"]: row["fold"] for row in splits.vendor_folds(df).collect()}
+    assert len(per_fold) == len(held) == 4 and sum(f["rows"] for f in per_fold.values()) == 540
+    for vendor, fold in folds.items():
+        own = (pdf["vendor"] == vendor).to_numpy()
+        z = np.column_stack([x[~own], y[~own]])
+        left = y[own] - x[own] @ model.solve(model.Cells.of_dense(z.T @ z), design.monotone)
+        error, explained = np.abs(left).mean(), 1 - (left**2).mean() / y[own].var()
+        assert held[vendor]["model_mae_log"] == pytest.approx(error, abs=2e-6)
+        assert (per_fold[fold]["mae_log"], per_fold[fold]["r2"]) == pytest.approx((error, explained), abs=2e-6)
+
+
 def test_one_vendor_skips_cross_validation(rows):
     vendor = rows.first()["vendor"]
     cv = train.validate(rows.where(F.col("vendor") == vendor)).cv.first()
