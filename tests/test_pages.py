@@ -159,3 +159,28 @@ def test_flat_children_are_read_without_a_fold(spark):
     flat, other = "x<div a=1>A &amp; b</div> y<p>c</P><br>", "<div>a<b>b</b></div><img src='/'><div>c"
     rows = spark.createDataFrame([(flat[:-4],), (flat,), (other,), ("",)], "h string")
     assert [r[0] for r in rows.select(markup.children_texts(F.col("h"))).collect()] == [["A & b", "c"], ["A & b", "c"], ["ab", "c"], []]
+
+
+def test_one_pattern_reads_what_parts_give_one_by_one(spark):
+    start, rest = markup.with_class("k"), markup.with_class("k").split("<", 1)[1]
+    bits = ["<div class='k'>", "<DIV title='a>b' CLASS=k>", "<div class='k' title=\"<div class='k'>\">", "<div>", "</div>", "</Div >", "<p>", "</p>", "k", "<k/>", "<div/>"]
+    pages_ = ["".join(bits[(i * 7 + j * (i % 5 + 1) + i // 11) % len(bits)] for j in range(i % 9)) for i in range(600)]
+    rows = spark.createDataFrame([(p,) for p in [*pages_, None]], "h string")
+    h = F.col("h")
+    parts = markup._contents_one_by_one(h, start, f"(?is)(?=<{rest})<[^<]*+(?:(?!<{rest})<[^<]*+)*+")
+    read = rows.select("h", parts.alias("parts"), markup.contents(h, start).alias("c"), markup.contents(h, start, "K").alias("d")).collect()
+    assert all(r["parts"] == r["c"] == r["d"] for r in read) and sum(len(r["c"] or []) > 1 for r in read) > 100
+
+
+def test_the_value_of_an_attribute_is_found_by_one_pattern(spark):
+    tags = {"<a href='x\"y'>": "x\"y", '<a HREF = "it\'s">': "it's", "<a href=u?a=1&amp;b=2 x>": "u?a=1&b=2", "<a href='open>": "", "<a data-href='n' href=''>": "", "<a>": "", "<a x='1'href=v>": "v"}
+    rows = spark.createDataFrame([(t,) for t in tags], "t string")
+    value = markup.attribute(F.col("t"), "href")
+    assert {r["t"]: r["v"] for r in rows.select("t", value.alias("v")).collect()} == tags
+    assert str(value._jc).count("href") == 1
+
+
+def test_pages_that_hide_nothing_are_not_rewritten(spark):
+    rows = {"<p>a</p>": "<p>a</p>", "a<!--b-->c": "ac", "a<SCRIPT>b</script>c": "ac", "a<Style x='>'>b": "a", "<scripted>b": "<scripted>b", None: ""}
+    df = spark.createDataFrame([(h,) for h in rows], "h string")
+    assert {r["h"]: r["v"] for r in df.select("h", markup.visible(F.col("h")).alias("v")).collect()} == rows

@@ -181,6 +181,16 @@ def test_table_specs_last_line_wins(spark):
     assert got[1] == {} and got[2] == {}
 
 
+def test_spec_fields_are_those_of_the_map(spark):
+    words = ["Weight:", "weight :", "Shape", "Shape:", "Table %", "Table:", "Depth:", "Measurements", "Measurements:", "\u017fhape", "5", "1 ct", "%", "\n", "x\x01Shape y", " ", ""]
+    lines = [[words[(i * 3 + j * 5 + k * (i % 7)) % len(words)] + words[(i + j + k) % len(words)] for j in range(i % 5)] for i in range(200) for k in (1, 2)]
+    df = spark.createDataFrame([(x,) for x in [*lines, None, [None]]], "l array<string>")
+    for parse, labels in ((specs.parse_table_specs, specs.TABLE_LABELS), (specs.parse_label_specs, specs.LABEL_LABELS)):
+        rows = df.select(parse(F.col("l")).alias("m"), parse(F.col("l"), fields=True).alias("s")).collect()
+        assert all(list(r["s"].asDict()) == [key for _, key, _ in labels] for r in rows)
+        assert all({k: v for k, v in r["s"].asDict().items() if v is not None} == r["m"] for r in rows) and sum(bool(r["m"]) for r in rows) > 100
+
+
 def test_label_specs_value_layouts(spark):
     lines = [
         "Weight: 2.15Ct", "Shape:Cushion", "Main Color: Yellow", "Secondary  Color: None", "Table: 62 % ", "Depth: 68%",
