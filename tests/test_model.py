@@ -315,6 +315,16 @@ def test_stored_models_are_validated_without_training(spark, rows):
         broken.whole
 
 
+def test_rows_reach_the_same_node_alone_and_among_others():
+    rng = np.random.default_rng(3)
+    tree, bins = residual_trees.Tree(31), rng.integers(0, 6, (500, 13)).astype(np.int32)
+    tree.feature[:11], tree.cut[:11] = rng.integers(0, 13, 11), rng.integers(0, 5, 11)
+    some = np.flatnonzero(rng.random(500) < 0.6)
+    for depth in range(5):
+        assert (tree.node_of(bins, depth, some) == tree.node_of(bins, depth)[some]).all()
+    assert len(set(tree.node_of(bins, 4, some))) > 5 and len(tree.node_of(bins, 4, some[:0])) == 0
+
+
 def test_the_validation_queries_train_the_model_of_every_split(spark, monkeypatch):
     r = random.Random(8)
     schema = "vendor string, source_url string, sku_or_stock string, date_seen date, log_price double, "
